@@ -154,3 +154,19 @@ def near_duplicates(docs: DataFrame, p: MinHashParams = MinHashParams(), ws: Wor
     out = signed.drop("subkeys").join(named, ["sa", "sb", "n"], "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("root")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, p: MinHashParams = MinHashParams(), ws: Workspace | None = None) -> DataFrame:
+    """The rows, with all their columns, of one document of each group.
+
+    Rows that share a doc_id are one document: it stays if any of them is kept, as
+    one row.  Rows without a doc_id stay.
+    """
+    ws = ws or Workspace(docs.sparkSession, "minhash")
+    found = ws.save(near_duplicates(docs, p, ws).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")).filter("doc_id is not null"), "found")
+    key = docs["doc_id"].cast("long")
+    once, more = found.filter("kept and rows = 1"), found.filter("kept and rows > 1")
+    out = docs.join(once, key == once["doc_id"], "left_semi").unionAll(docs.filter(key.isNull()))
+    if not more.isEmpty():
+        out = out.unionAll(docs.join(more, key == more["doc_id"], "left_semi").dropDuplicates(["doc_id"]))
+    return out

@@ -22,6 +22,93 @@ SELECT n.doc_id, n.n AS n_shingles, m.c AS component_id, n.doc_id = m.c AS kept
 FROM n JOIN (SELECT v, min(u) AS c FROM r GROUP BY v) m ON m.v = n.doc_id
 """
 
+OP2 = """
+WITH u AS (SELECT page_id, CASE WHEN url IS NULL OR strpos(url, '://') = 0 THEN '' ELSE substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+p AS (
+  SELECT row_number() OVER () AS r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules(verdict, rh, rp) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+fits AS (
+  SELECT r, arg_max(rh || rp, 1000 * length(rh || rp) + length(rh)) AS rule, arg_max(verdict, 1000 * length(rh || rp) + length(rh)) AS verdict
+  FROM p JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN fits USING (r)
+"""
+
+OP5 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def _op7(rounds: int = 12, temper: float = 0.7, seed: int = 7) -> str:
+    ctes = [
+        rf"""d AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+          CASE WHEN length(coalesce(text, '')) = 0 THEN 'empty' WHEN contains(text, 'Licens') OR contains(text, 'Copyright') THEN 'licence' WHEN contains(text, ' | ') THEN 'table'
+            WHEN contains(text, '@') THEN 'contact' WHEN length(text) < 600 THEN 'short' ELSE 'prose' END AS topic,
+          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens FROM documents)""",
+        "c AS MATERIALIZED (SELECT source, lang, topic, sum(greatest(n_tokens, 1))::DOUBLE AS tokens FROM d GROUP BY ALL)",
+        "w0 AS MATERIALIZED (SELECT source, lang, topic, tokens, tokens / sum(tokens) OVER () AS w FROM c)",
+    ]
+    margins = ("source", "lang", "topic")
+    for m in margins:
+        ctes.append(f"g_{m} AS MATERIALIZED (SELECT {m}, g / sum(g) OVER () AS g FROM (SELECT {m}, pow(sum(tokens) / (SELECT sum(tokens) FROM c), {temper}) AS g FROM c GROUP BY {m}))")
+    k = 0
+    for _ in range(rounds):
+        for m in margins:
+            ctes.append(f"w{k + 1} AS MATERIALIZED (SELECT a.source, a.lang, a.topic, a.tokens, a.w * g.g / sum(a.w) OVER (PARTITION BY a.{m}) AS w FROM w{k} a JOIN g_{m} g ON g.{m} = a.{m})")
+            k += 1
+    ctes.append(f"p AS MATERIALIZED (SELECT source, lang, topic, round((w / tokens) / max(w / tokens) OVER (), 9) AS p FROM w{k})")
+    draw = f"('0x' || substr(md5('{seed}|' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0"
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, source, lang, topic, n_tokens, p FROM d JOIN p USING (source, lang, topic) WHERE {draw} < p"
+
+
+_MARKS = r"^(?:[ \t]*>)+"
+_NORM = r"trim(lower(regexp_replace({}, '[ \t\r\n]+', ' ', 'g')))"
+_RULE = r"(?i)(?:wrote|schrieb|écrit|escribió)[ \t ]*:[ \t]*$"
+
+OP10 = f"""
+WITH RECURSIVE m AS MATERIALIZED (SELECT row_number() OVER () AS r, conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+l AS MATERIALIZED (
+  SELECT r, at, line, length(regexp_replace(regexp_extract(line, '{_MARKS}'), '[^>]', '', 'g')) AS level
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS at FROM m)),
+n AS MATERIALIZED (SELECT *, coalesce(lead(level) OVER (PARTITION BY r ORDER BY at) > 0, false) AS above FROM l),
+own AS MATERIALIZED (
+  SELECT m.r, CASE WHEN max(n.level) > 0 THEN trim(coalesce(string_agg(n.line, chr(10) ORDER BY n.at) FILTER (n.level = 0 AND NOT (n.above AND regexp_matches(n.line, '{_RULE}'))), '')) ELSE any_value(m.text) END AS own
+  FROM m JOIN n ON n.r = m.r GROUP BY m.r),
+q AS MATERIALIZED (
+  SELECT r, level, min(at) AS place, string_agg(regexp_replace(line, '{_MARKS}', ''), ' ' ORDER BY at) AS body
+  FROM (SELECT *, at - row_number() OVER (PARTITION BY r, level ORDER BY at) AS island FROM l WHERE level > 0) GROUP BY r, level, island),
+passage AS MATERIALIZED (SELECT r, level, place, md5({_NORM.format("body")}) AS h FROM q WHERE {_NORM.format("body")} <> ''),
+whole AS (SELECT * FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND role IS NOT NULL),
+said AS MATERIALIZED (
+  SELECT conv_id, md5({_NORM.format("part")}) AS h, min(turn) AS origin
+  FROM (SELECT conv_id, turn, unnest(list_concat([own], list_concat(regexp_split_to_array(own, '\\n[ \\t]*\\n'), string_split(own, chr(10))))) AS part FROM whole JOIN own USING (r))
+  WHERE {_NORM.format("part")} <> '' GROUP BY ALL),
+found AS MATERIALIZED (
+  SELECT DISTINCT w.conv_id, w.turn, p.place, p.level, s.origin FROM whole w JOIN passage p USING (r) JOIN said s ON s.conv_id = w.conv_id AND s.h = p.h AND s.origin < w.turn),
+link AS MATERIALIZED (SELECT conv_id, turn, arg_min(origin, level * 1000000000 - origin) AS reply_to, count(DISTINCT place) AS n_linked FROM found GROUP BY ALL),
+up AS (
+  SELECT conv_id, turn, reply_to AS thread, 1 AS depth FROM link
+  UNION ALL SELECT up.conv_id, up.turn, link.reply_to, up.depth + 1 FROM up JOIN link ON link.conv_id = up.conv_id AND link.turn = up.thread),
+top AS (SELECT conv_id, turn, min(thread) AS thread, max(depth) AS depth FROM up GROUP BY ALL),
+cnt AS (SELECT r, count(*) AS n FROM passage GROUP BY r)
+SELECT m.conv_id, m.turn, m.role, CASE WHEN m.role IS NOT NULL THEN link.reply_to END AS reply_to,
+  CASE WHEN m.role IS NOT NULL THEN coalesce(top.thread, m.turn) ELSE m.turn END AS thread, CASE WHEN m.role IS NOT NULL THEN coalesce(top.depth, 0) ELSE 0 END::BIGINT AS depth,
+  coalesce(cnt.n, 0)::BIGINT AS n_quotes, CASE WHEN m.role IS NOT NULL THEN coalesce(link.n_linked, 0) ELSE 0 END::BIGINT AS n_linked,
+  '<|im_start|>' || coalesce(m.role, '') || chr(10) || own.own || '<|im_end|>' AS chat
+FROM m JOIN own USING (r) LEFT JOIN link ON link.conv_id = m.conv_id AND link.turn = m.turn LEFT JOIN top ON top.conv_id = m.conv_id AND top.turn = m.turn LEFT JOIN cnt ON cnt.r = m.r
+"""
+
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": OP1,
+    "op2_url_filter": OP2,
+    "op5_topk_nra": OP5,
+    "op7_mixing": _op7(),
+    "op10_chat_threads": OP10,
 }

@@ -66,11 +66,17 @@ class Words:
     end: np.ndarray
     hash: np.ndarray
     doc: np.ndarray  #: row of the word's document, counted from ``first``
+    total: np.ndarray  #: running polynomial sums, for hashes of other spans
 
     def per_doc(self) -> np.ndarray:
         """docs + 1 offsets into the words."""
         return np.searchsorted(self.doc, np.arange(self.docs + 1))
 
+    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        _, inverse = powers(len(self.data) + 1)
+        h = (self.total[end] - self.total[start]) * inverse[start]
+        return mix(h + (end - start).astype(_U) * _U(0xA24BAED4963EE407))
+
     def text(self, i: int) -> str:
         return self.data[self.start[i] : self.end[i]].tobytes().decode("utf-8", "replace")
 
@@ -127,7 +133,7 @@ def split_words(raw: np.ndarray, bounds: np.ndarray, first: int = 0) -> Words:
     h = (total[end] - total[start]) * inverse[start]
     h = mix(h + (end - start).astype(_U) * _U(0xA24BAED4963EE407))
     doc = np.searchsorted(bounds, start, "right") - 1
-    return Words(first, len(bounds) - 1, data, bounds, start, end, h, doc)
+    return Words(first, len(bounds) - 1, data, bounds, start, end, h, doc, total)
 
 
 def shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
