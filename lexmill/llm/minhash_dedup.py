@@ -12,10 +12,11 @@ once are removed before pairs are formed; unique documents form no table keys.
 Candidates are confirmed on the full shingle sets.  Documents with one and the
 same set are one class and enter the search as one row.
 
-Within a bucket every member is first compared with the bucket's smallest id.
-Buckets whose members then are in one component are settled; in the others, the
-members of different components are compared with each other, so no link between
-components that share a bucket is lost and copies are never expanded into pairs.
+Within a bucket every member is first compared with the bucket's smallest id, its
+pivot.  Pivots whose members then are in one component are settled.  For the
+others, members of different components are found by what sets them apart from
+their pivot (see ``_across``), so no link between components that share a bucket
+is lost, and neither copies nor the dissimilar are expanded into pairs.
 
 Defined results: null or wordless texts have an empty set, n_shingles 0 and stay
 on their own; repeated rows of one doc_id count as one row each in the result and
@@ -29,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -115,6 +116,70 @@ def _verified(pairs: DataFrame, sets: DataFrame, p: MinHashParams) -> DataFrame:
     return met.filter(F.lit(100) * common >= F.lit(p.percent) * (F.size("ha") + F.size("hb") - common)).select("a", "b")
 
 
+def _deltas(tables: DataFrame, roots: DataFrame, sets: DataFrame, p: MinHashParams, ws: Workspace) -> DataFrame:
+    """(a, b, na, nb, ra, rb, d, linked): members of the buckets that aren't settled, with what sets them apart from their pivot b.
+
+    A bucket is settled if all its members are in one component.  The pivot of
+    another is the smallest root of those of its members that are linked to
+    anything, or else its smallest id.
+    """
+    placed = tables.join(roots, tables["rep"] == roots["node"], "left").select("t", F.col("rep").alias("a"), "root", F.coalesce("root", "rep").alias("ra"))
+    open_ = placed.groupBy("t").agg(F.min("ra").alias("lo"), F.max("ra").alias("hi"), F.coalesce(F.min("root"), F.min("a")).alias("b")).filter("lo < hi").select("t", "b")
+    pairs = placed.join(open_, "t").filter("a != b").select("a", "b", "ra").distinct()
+    pairs = pairs.join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left").withColumn("rb", F.coalesce("rb", "b"))
+    met = pairs.join(sets.select(F.col("id").alias("a"), F.col("hs").alias("ha")), "a").join(sets.select(F.col("id").alias("b"), F.col("hs").alias("hb")), "b")
+    delta = F.array_union(F.array_except("ha", "hb"), F.array_except("hb", "ha"))
+    out = met.select("a", "b", F.size("ha").alias("na"), F.size("hb").alias("nb"), "ra", "rb", delta.alias("d"))
+    linked = F.lit(100 + p.percent) * F.size("d") <= F.lit(100 - p.percent) * (F.col("na") + F.col("nb"))
+    return ws.save(out.withColumn("linked", linked), "deltas")
+
+
+def _across(deltas: DataFrame, p: MinHashParams, ws: Workspace) -> DataFrame:
+    """Pairs (a, b) of different components that shared a bucket and can still be linked.
+
+    With pivot c, let D be a member's symmetric difference to c and f = (1 - s) / (1 + s),
+    so that a and b are linked if and only if their own difference is at most
+    T = f * (na + nb).  It is |Da| + |Db| - 2 * |Da and Db|.  Two members that are
+    both linked to c are of one component through it; of any other two one at least
+    isn't linked to c, and from that follows that
+
+    * the sizes |Da| and |Db| differ by T at most,
+    * Da and Db share more than (|D| + f * (nc - n)) / 2 elements, D and n being those
+      of a member whose partner isn't linked to c,
+    * and at least |D| - T of a member that isn't linked to c.
+
+    So in any order of the elements both have a common one among their first
+    |D| - least + 1: an equi-join on (pivot, element) finds every such pair without
+    going through the pairs of a bucket.  Elements come the later in the order the
+    more of a pivot's members differ from it in them, as far as 64 members show; the
+    order decides how many pairs are met in vain, never which are found.
+    """
+    f = (100 - p.percent) / (100 + p.percent)
+    some = deltas.withColumn("k", F.row_number().over(Window.partitionBy("b").orderBy(F.xxhash64("a")))).filter("k <= 64")
+    votes = some.select("b", F.explode("d").alias("e")).groupBy("b", "e").agg(F.count("*").alias("c")).filter("c > 1")
+    tier = F.when(F.col("c") * 2 > F.col("m"), 2).when(F.col("c") * 8 > F.col("m"), 1).otherwise(0)
+    votes = votes.join(some.groupBy("b").agg(F.count("*").alias("m")), "b").withColumn("tier", tier)
+    tiers = votes.groupBy("b").agg(*(F.collect_list(F.when(F.col("tier") == k, F.col("e"))).alias(f"t{k}") for k in range(3)))
+    ranked = deltas.join(tiers, "b", "left").withColumns({f"t{k}": F.coalesce(f"t{k}", F.array().cast("array<long>")) for k in range(3)})
+    rare = F.array_except("d", F.concat("t0", "t1", "t2"))
+    order = F.concat(F.array_sort(rare), *(F.array_sort(F.array_intersect("d", f"t{k}")) for k in range(3)))
+    x = F.size("d")
+    # members that aren't linked to the pivot are looked up under both bounds
+    among = x - F.floor((x + f * (F.col("nb") - F.col("na"))) / 2)
+    over = x - F.ceil(x - f * (1 + 100 / p.percent) * F.col("na")) + 1
+    taken = F.when(F.col("linked"), among).otherwise(F.greatest(among, over))
+    taken = F.greatest(F.lit(0), F.least(x, taken)).cast("int")
+    heads = ws.save(ranked.select("b", "a", "na", "ra", "linked", x.alias("x"), among.alias("among"), F.posexplode(F.slice(order, F.lit(1), taken)).alias("at", "e")), "prefixes")
+    side = lambda q: heads.select("b", "e", *(F.col(k).alias(k + q) for k in ("a", "na", "ra", "x", "linked", "at", "among")))
+    # what two have in common from their first common element on must suffice
+    rest = F.least(F.col("x1") - F.col("at1"), F.col("x2") - F.col("at2"))
+    near = F.lit(100 - p.percent) * (F.col("na1") + F.col("na2")) >= F.lit(100 + p.percent) * (F.col("x1") + F.col("x2") - 2 * rest)
+    # two that aren't linked meet once, below the first bound on either side
+    twice = F.col("linked1") | ((F.col("a1") < F.col("a2")) & (F.col("at1") < F.col("among1")) & (F.col("at2") < F.col("among2")))
+    met = side("1").join(side("2").filter("not linked2"), ["b", "e"]).filter((F.col("ra1") != F.col("ra2")) & _fits(p, "na1", "na2") & near & twice)
+    return met.select(F.least("a1", "a2").alias("a"), F.greatest("a1", "a2").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, p: MinHashParams = MinHashParams(), ws: Workspace | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text)."""
     ws = ws or Workspace(docs.sparkSession, "minhash")
@@ -132,22 +197,17 @@ def near_duplicates(docs: DataFrame, p: MinHashParams = MinHashParams(), ws: Wor
 
     # round 1: each member of a bucket against the bucket's smallest id
     heads = tables.groupBy("t").agg(F.min(F.struct("rep", "n")).alias("h"), F.count("*").alias("c")).filter("c > 1").select("t", F.col("h.rep").alias("b"), F.col("h.n").alias("nb"))
-    first = ws.save(tables.withColumnRenamed("rep", "a").join(heads, "t").filter(F.col("a") != F.col("b")).filter(_fits(p, "n", "nb")).select("a", "b").distinct(), "first")
-    ids = tables.select(F.col("rep").alias("doc_id")).distinct()
+    starred = ws.save(tables.withColumnRenamed("rep", "a").withColumnRenamed("n", "na").join(heads, "t").filter(F.col("a") != F.col("b")).select("a", "b", "na", "nb").distinct(), "starred")
+    ids = starred.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     # the second search draws on the same documents, so their sets are kept once
     sets = ws.save(docs.join(ids, "doc_id", "left_semi").mapInArrow(_setter(p), "id long, hs array<long>").dropDuplicates(["id"]), "sets")
-    good = ws.save(_verified(first, sets, p), "edges1")
+    good = ws.save(_verified(starred.filter(_fits(p, "na", "nb")), sets, p), "edges1")
     roots = components(good, ws, "cc1")
 
-    # round 2: members of different components that share a bucket
-    placed = tables.join(roots, tables["rep"] == roots["node"], "left").select("t", "rep", "n", F.coalesce("root", "rep").alias("root"))
-    open_ = placed.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("t")
-    rest = ws.save(placed.join(open_, "t", "left_semi"), "rest")
-    left = rest.select("t", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = rest.select("t", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    across = left.join(right, "t").filter((F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb"))).filter(_fits(p, "na", "nb")).select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    more = ws.save(_verified(across, sets, p), "edges2")
-    ws.drop("rest", "first", "tables", "sets")
+    deltas = _deltas(tables, roots, sets, p, ws)
+    pivots = deltas.filter("linked and ra != rb").select("a", "b")
+    more = ws.save(_verified(_across(deltas, p, ws), sets, p).union(pivots), "edges2")
+    ws.drop("starred", "tables", "sets", "deltas", "prefixes")
     roots = components(good.union(more), ws, "cc2")
 
     named = reps.select("sa", "sb", "n", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("sa", "sb", "n", F.coalesce("root", "rep").alias("root"))
