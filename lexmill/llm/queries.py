@@ -14,6 +14,7 @@ from .mixing import mix_sources
 from .oracles import ORACLES
 from .quality_gam import score_quality
 from .secrets import scan_secrets
+from .substring_dedup import repeated_bytes
 from .topk_nra import top_k
 from .url_filter import Rule, judge_urls
 from .workspace import table
@@ -41,6 +42,10 @@ def op5_topk_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_brown_lm": op3_brown_lm,
     "op4_decontaminate": op4_decontaminate,
     "op5_topk_nra": op5_topk_nra,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_mixing": op7_mixing,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_gam": op9_quality_gam,
