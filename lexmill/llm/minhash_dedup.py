@@ -199,8 +199,8 @@ def near_duplicates(docs: DataFrame, p: MinHashParams = MinHashParams(), ws: Wor
     heads = tables.groupBy("t").agg(F.min(F.struct("rep", "n")).alias("h"), F.count("*").alias("c")).filter("c > 1").select("t", F.col("h.rep").alias("b"), F.col("h.n").alias("nb"))
     starred = ws.save(tables.withColumnRenamed("rep", "a").withColumnRenamed("n", "na").join(heads, "t").filter(F.col("a") != F.col("b")).select("a", "b", "na", "nb").distinct(), "starred")
     ids = starred.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    # the second search draws on the same documents, so their sets are kept once
-    sets = ws.save(docs.join(ids, "doc_id", "left_semi").mapInArrow(_setter(p), "id long, hs array<long>").dropDuplicates(["id"]), "sets")
+    # both searches draw on these sets; texts are joined by merging whatever the size, so the plan is one
+    sets = ws.save(docs.hint("merge").join(ids, "doc_id", "left_semi").mapInArrow(_setter(p), "id long, hs array<long>").dropDuplicates(["id"]), "sets")
     good = ws.save(_verified(starred.filter(_fits(p, "na", "nb")), sets, p), "edges1")
     roots = components(good, ws, "cc1")
 
@@ -226,7 +226,7 @@ def one_of_each(docs: DataFrame, p: MinHashParams = MinHashParams(), ws: Workspa
     found = ws.save(near_duplicates(docs, p, ws).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")).filter("doc_id is not null"), "found")
     key = docs["doc_id"].cast("long")
     once, more = found.filter("kept and rows = 1"), found.filter("kept and rows > 1")
-    out = docs.join(once, key == once["doc_id"], "left_semi").unionAll(docs.filter(key.isNull()))
+    out = docs.hint("merge").join(once, key == once["doc_id"], "left_semi").unionAll(docs.filter(key.isNull()))
     if not more.isEmpty():
-        out = out.unionAll(docs.join(more, key == more["doc_id"], "left_semi").dropDuplicates(["doc_id"]))
+        out = out.unionAll(docs.hint("merge").join(more, key == more["doc_id"], "left_semi").dropDuplicates(["doc_id"]))
     return out

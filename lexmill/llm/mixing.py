@@ -6,9 +6,10 @@ calibrated probability of its cell.  A target share is the marginal's token shar
 to the power ``temper``, normalised, which lifts small classes and damps a source
 that holds a third of everything; shares may also be given outright.
 
-Probabilities are scaled so that the largest is 1; no document is repeated and
-none is dropped by anything but its draw.  The draw is a hash of the seed and the
-document's id, so it does not depend on partitions or order.
+Probabilities are scaled so that the share ``keep`` of all tokens is expected; a
+cell that would need more than there is is taken whole (no document is repeated)
+and the others make up for it in their proportions.  The draw is a hash of the seed
+and the document's id, so it does not depend on partitions or order.
 
 Raking runs on the driver for up to ``max_cells`` cells and as DataFrame steps on
 the cells beyond that; the results are the same.
@@ -35,6 +36,7 @@ MARGINS = ("source", "lang", "topic")
 @dataclass(frozen=True)
 class MixParams:
     temper: float = 0.7
+    keep: float = 0.5  #: share of the tokens to expect
     rounds: int = 12
     seed: int = 7
     max_cells: int = 1_000_000
@@ -82,6 +84,30 @@ def rake(cells: pd.DataFrame, p: MixParams) -> np.ndarray:
     return w
 
 
+def scale(cells: pd.DataFrame, r: np.ndarray, p: MixParams) -> np.ndarray:
+    """min(1, c * r), with c such that the expected tokens are the share to keep."""
+    tokens = cells["tokens"].to_numpy(float)
+    whole = r > np.inf
+    while True:
+        rest = (tokens * r)[~whole].sum()
+        c = (p.keep * tokens.sum() - tokens[whole].sum()) / rest if rest > 0 else 0.0
+        now = whole | (c * r >= 1)
+        if (now == whole).all():
+            return np.where(whole, 1.0, np.maximum(c, 0.0) * r)
+        whole = now
+
+
+def _scale_steps(fitted: DataFrame, p: MixParams) -> DataFrame:
+    """The same on a table of cells (tokens, r)."""
+    total, limit = float(fitted.agg(F.sum("tokens")).first()[0]), float("inf")
+    while True:
+        own = fitted.agg(F.coalesce(F.sum(F.when(F.col("r") >= limit, F.col("tokens"))), F.lit(0)).cast("double"), F.coalesce(F.sum(F.when(F.col("r") < limit, F.col("tokens") * F.col("r"))), F.lit(0.0))).first()
+        c = max(0.0, (p.keep * total - own[0]) / own[1]) if own[1] > 0 else 0.0
+        if c == 0.0 or 1 / c >= limit or fitted.filter((F.col("r") >= 1 / c) & (F.col("r") < limit)).isEmpty():
+            return fitted.withColumn("p", F.when(F.col("r") >= limit, 1.0).otherwise(F.lit(c) * F.col("r")))
+        limit = 1 / c
+
+
 def _rake_steps(cells: DataFrame, p: MixParams, ws: Workspace) -> DataFrame:
     """The same on a table of any number of cells: (source, lang, topic, tokens, w)."""
     spark = cells.sparkSession
@@ -117,13 +143,12 @@ def probabilities(docs: DataFrame, p: MixParams = MixParams(), ws: Workspace | N
     if len(got) > p.max_cells:
         ws = ws or Workspace(spark, "mix")
         fitted = _rake_steps(ws.save(cells, "cells"), p, ws).withColumn("r", F.col("w") / F.col("tokens"))
-        top = fitted.agg(F.max("r")).first()[0] or 1.0
-        return fitted.select(*MARGINS, F.round(F.col("r") / F.lit(top), 9).alias("p"))
+        return _scale_steps(fitted, p).select(*MARGINS, F.round("p", 9).alias("p"))
     if not len(got):
         return spark.createDataFrame([], schema)
     got = got.sort_values(list(MARGINS), ignore_index=True)
     r = rake(got, p) / got["tokens"].to_numpy(float)
-    got["p"] = np.round(r / (r.max() or 1.0), 9)
+    got["p"] = np.round(scale(got, r, p), 9)
     return F.broadcast(spark.createDataFrame(got[[*MARGINS, "p"]], schema))
 
 

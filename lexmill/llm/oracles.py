@@ -46,7 +46,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
-def _op7(rounds: int = 12, temper: float = 0.7, seed: int = 7) -> str:
+def _op7(rounds: int = 12, temper: float = 0.7, keep: float = 0.5, seed: int = 7) -> str:
     ctes = [
         rf"""d AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
           CASE WHEN length(coalesce(text, '')) = 0 THEN 'empty' WHEN contains(text, 'Licens') OR contains(text, 'Copyright') THEN 'licence' WHEN contains(text, ' | ') THEN 'table'
@@ -63,7 +63,10 @@ def _op7(rounds: int = 12, temper: float = 0.7, seed: int = 7) -> str:
         for m in margins:
             ctes.append(f"w{k + 1} AS MATERIALIZED (SELECT a.source, a.lang, a.topic, a.tokens, a.w * g.g / sum(a.w) OVER (PARTITION BY a.{m}) AS w FROM w{k} a JOIN g_{m} g ON g.{m} = a.{m})")
             k += 1
-    ctes.append(f"p AS MATERIALIZED (SELECT source, lang, topic, round((w / tokens) / max(w / tokens) OVER (), 9) AS p FROM w{k})")
+    ctes.append(f"r AS MATERIALIZED (SELECT source, lang, topic, tokens, w / tokens AS r, sum(tokens) OVER () * {keep} AS goal FROM w{k})")
+    # with the cells from the largest r down to before this one taken whole, c is what the others need
+    ctes.append("o AS MATERIALIZED (SELECT *, (goal - coalesce(sum(tokens) OVER up, 0)) / sum(tokens * r) OVER down AS c FROM r WINDOW up AS (ORDER BY r DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), down AS (ORDER BY r DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))")
+    ctes.append("p AS MATERIALIZED (SELECT source, lang, topic, round(least(1.0, r * (SELECT arg_max(c, r) FROM o WHERE c * r < 1)), 9) AS p FROM o)")
     draw = f"('0x' || substr(md5('{seed}|' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0"
     return "WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, source, lang, topic, n_tokens, p FROM d JOIN p USING (source, lang, topic) WHERE {draw} < p"
 
