@@ -1,0 +1 @@
+"""Column functions: text cleaning and text metrics, all of them built-in expressions."""
