@@ -78,15 +78,15 @@ _RULE = r"(?i)(?:wrote|schrieb|écrit|escribió)[ \t ]*:[ \t]*$"
 OP10 = f"""
 WITH RECURSIVE m AS MATERIALIZED (SELECT row_number() OVER () AS r, conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
 l AS MATERIALIZED (
-  SELECT r, at, line, length(regexp_replace(regexp_extract(line, '{_MARKS}'), '[^>]', '', 'g')) AS level
-  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS at FROM m)),
-n AS MATERIALIZED (SELECT *, coalesce(lead(level) OVER (PARTITION BY r ORDER BY at) > 0, false) AS above FROM l),
+  SELECT r, pos, line, length(regexp_replace(regexp_extract(line, '{_MARKS}'), '[^>]', '', 'g')) AS level
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM m)),
+n AS MATERIALIZED (SELECT *, coalesce(lead(level) OVER (PARTITION BY r ORDER BY pos) > 0, false) AS above FROM l),
 own AS MATERIALIZED (
-  SELECT m.r, CASE WHEN max(n.level) > 0 THEN trim(coalesce(string_agg(n.line, chr(10) ORDER BY n.at) FILTER (n.level = 0 AND NOT (n.above AND regexp_matches(n.line, '{_RULE}'))), '')) ELSE any_value(m.text) END AS own
+  SELECT m.r, CASE WHEN max(n.level) > 0 THEN trim(coalesce(string_agg(n.line, chr(10) ORDER BY n.pos) FILTER (n.level = 0 AND NOT (n.above AND regexp_matches(n.line, '{_RULE}'))), '')) ELSE any_value(m.text) END AS own
   FROM m JOIN n ON n.r = m.r GROUP BY m.r),
 q AS MATERIALIZED (
-  SELECT r, level, min(at) AS place, string_agg(regexp_replace(line, '{_MARKS}', ''), ' ' ORDER BY at) AS body
-  FROM (SELECT *, at - row_number() OVER (PARTITION BY r, level ORDER BY at) AS island FROM l WHERE level > 0) GROUP BY r, level, island),
+  SELECT r, level, min(pos) AS place, string_agg(regexp_replace(line, '{_MARKS}', ''), ' ' ORDER BY pos) AS body
+  FROM (SELECT *, pos - row_number() OVER (PARTITION BY r, level ORDER BY pos) AS island FROM l WHERE level > 0) GROUP BY r, level, island),
 passage AS MATERIALIZED (SELECT r, level, place, md5({_NORM.format("body")}) AS h FROM q WHERE {_NORM.format("body")} <> ''),
 whole AS (SELECT * FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND role IS NOT NULL),
 said AS MATERIALIZED (
