@@ -76,7 +76,7 @@ def french_share(text: Column) -> Column:
 def is_french(text: Column, threshold: Column | float) -> Column:
     """Undecided texts count as French, as do short ones."""
     r = french_share(text)
-    return F.when(r.isNull() | (r >= threshold), True).otherwise(r >= 0.01)
+    return F.when((F.length(text) < 200) | r.isNull() | (r >= threshold), True).otherwise(r >= 0.01)
 
 
 def is_french_light(text: Column, threshold: Column | float) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.metrics import skip_reason
@@ -32,14 +32,14 @@ def document_index(docs: DataFrame) -> DataFrame:
     return with_rank(summed.select("ord", "source", "n_tok", "_sum"), [F.col("ord")], "_n").select((F.col("_n") - 1).alias("doc_idx"), "source", "n_tok", (F.col("_sum") - 1).alias("eos_off"))
 
 
-def shift_over_skipped(lines: DataFrame, docs: DataFrame, line: Column = F.col("raw")) -> DataFrame:
+def shift_over_skipped(lines: DataFrame, docs: DataFrame, raw: str = "raw") -> DataFrame:
     """Documents joined to the lines they came from: the k-th document is the k-th line that isn't skipped."""
-    good = with_rank(lines.filter(skip_reason(line).isNull()), [F.col("line_no")], "_n").withColumn("doc_idx", F.col("_n") - 1).drop("_n")
+    good = with_rank(lines.filter(skip_reason(F.col(raw)).isNull()), [F.col("line_no")], "_n").withColumn("doc_idx", F.col("_n") - 1).drop("_n")
     return good.join(docs, "doc_idx")
 
 
-def skipped_lines(lines: DataFrame, line: Column = F.col("raw")) -> DataFrame:
-    return lines.withColumn("reason", skip_reason(line)).filter("reason is not null")
+def skipped_lines(lines: DataFrame, raw: str = "raw") -> DataFrame:
+    return lines.withColumn("reason", skip_reason(F.col(raw))).filter("reason is not null")
 
 
 def line_offsets(lines: DataFrame, raw: str = "raw") -> DataFrame:

@@ -109,7 +109,7 @@ def clean_text(spark, d):
 def _gate_sql(rel: str) -> str:
     return rf"""
     g0 AS (SELECT *, length(text) AS n, {_count("text", chr(92) + "p{L}")} AS alpha, {_count("text", _SP)} AS space, {_count("text", chr(92) + "p{Nd}")} AS digit,
-      {_count("text", chr(92) + "p{Lu}")} AS upper, {_words("text")} AS ws, {_lines("text")} AS ls, {_letter_words("substr(text, 1, 2000)", "a-zàâäéèêëîïôöùûüçœæ")} AS fw FROM {rel}),
+      {_count("text", chr(92) + "p{Lu}")} AS upper, {_words("text")} AS ws, {_lines("text")} AS ls, {_letter_words("substr(text, 1, 2000)", "a-zàâäéèêëîïôùûüçœæ")} AS fw FROM {rel}),
     g1 AS (SELECT *, list_filter(ws, lambda w: regexp_full_match(w, '\p{{L}}+')) AS aw, n - alpha - space - digit AS other, len(list_filter(fw, lambda w: list_contains({_common(COMMON_GATE)}, w))) / nullif(len(fw), 0) AS fr FROM g0),
     g2 AS (SELECT *, CASE WHEN len(aw) >= 10 THEN list_sum(list_transform(aw, lambda w: length(w))) / len(aw) END AS mean FROM g1),
     gated AS (SELECT *, CASE WHEN n < 300 THEN 'too short' WHEN len(ls) < 3 THEN 'too few lines' WHEN len(ws) < 50 THEN 'too few words' WHEN mean < 3.5 THEN 'short words' WHEN mean > 12.0 THEN 'long words'
