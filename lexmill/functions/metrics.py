@@ -41,10 +41,14 @@ def upper_share(text: Column) -> Column:
     return F.when(letters > 0, count(text, UPPER) / letters).otherwise(0.0)
 
 
+def mean_length(plain: Column, least: int) -> Column:
+    """Of an array of words; null with fewer than ``least``."""
+    return F.when(F.size(plain) >= least, F.aggregate(plain, F.lit(0), lambda a, w: a + F.length(w)) / F.size(plain))
+
+
 def mean_word_length(text: Column, least: int = 10) -> Column:
     """Of the words of letters only; null with fewer than ``least``."""
-    plain = F.filter(words(text), lambda w: w.rlike(r"^\p{L}+$"))
-    return F.when(F.size(plain) >= least, F.aggregate(plain, F.lit(0), lambda a, w: a + F.length(w)) / F.size(plain))
+    return mean_length(F.filter(words(text), lambda w: w.rlike(r"^\p{L}+$")), least)
 
 
 def line_repetition(text: Column) -> Column:
@@ -200,3 +204,19 @@ def learning_rate(step: Column, warmup: int, total: int, top: float, floor: floa
     """Linear warm-up, then half a cosine down to ``floor``."""
     ratio = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (step - warmup) / F.lit(float(max(1, total - warmup)))))
     return F.when(step < warmup, top * (step + 1) / warmup).otherwise(floor + 0.5 * (1 + F.cos(F.pi() * ratio)) * (top - floor))
+
+
+def is_byte_piece(piece: Column) -> Column:
+    """Whether a vocabulary piece stands for one byte, as in ``<0x0A>``."""
+    return piece.rlike("^<0x[0-9A-Fa-f]{2}>$")
+
+
+def fertility(tokens: Column, text: Column) -> Column:
+    """Tokens for each word; null without words."""
+    n = F.size(word_cores(text))
+    return F.when(n > 0, F.size(tokens) / n)
+
+
+def remaining_seconds(step: Column, steps: Column, tokens_per_step: int, rate: Column) -> Column:
+    """Until the last step, at a rate of tokens per second."""
+    return F.when(rate > 0, (steps - step) * tokens_per_step / rate)

@@ -74,3 +74,31 @@ def violations(docs: DataFrame, lines: int, tokens: int, longest: int = (1 << 32
     want = {"lines": F.col("lines") == lines, "tokens": F.col("tokens") == tokens, "longest": F.col("longest") <= longest}
     rows = F.array(*(F.struct(F.lit(k).alias("check"), F.col(k).cast("long").alias("got"), ok.alias("ok")) for k, ok in want.items()))
     return got.select(F.explode(rows).alias("r")).select("r.*").filter("not ok").drop("ok")
+
+
+def _take_apart(batches):
+    import json
+
+    import pyarrow as pa
+
+    read = json.JSONDecoder()
+    for batch in batches:
+        rows = []
+        for no, raw in zip(batch.column("line_no").to_pylist(), batch.column("raw").to_pylist(), strict=True):
+            rest, place = (raw or "").strip(), 0
+            while rest:
+                try:
+                    _, end = read.raw_decode(rest)
+                except ValueError:
+                    rows.append((no, place, rest, False))
+                    break
+                rows.append((no, place, rest[:end], True))
+                rest, place = rest[end:].lstrip(), place + 1
+        cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["line_no", "place", "object", "valid"])
+
+
+def fused_objects(lines: DataFrame) -> DataFrame:
+    """(line_no, place, object, valid): the JSON values that stand one after another in a line; what can't be read is the last one, and not valid."""
+    return lines.select("line_no", "raw").mapInArrow(_take_apart, "line_no long, place long, object string, valid boolean")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .config import BOILERPLATE, COMMON_GATE, COMMON_LIGHT, COMMON_SCORE, DELIBERATION, UNCERTAINTY, BlendParams, MinHashParams
@@ -12,7 +12,7 @@ from .functions import metrics as M
 from .functions import text as T
 from .operators import alerts, blend, dedup, gates, index, profile, sample, select, sft
 from .plans.corpus import dedup_quality
-from .streaming.incremental import windowed_counts
+from .streaming.incremental import sessions, windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,7 +121,7 @@ def _gate_sql(rel: str) -> str:
 
 @query(f"WITH {_gate_sql('documents')} SELECT doc_id, reason FROM gated")
 def gate_reason(spark, d):
-    return table(spark, d, "documents").select("doc_id", gates.reject_reason(F.col("text"), F.col("source")).alias("reason"))
+    return gates.with_reason(table(spark, d, "documents").select("doc_id", "source", "text")).select("doc_id", "reason")
 
 
 @query(f"WITH c AS (SELECT doc_id, source, {_CLEAN} AS text FROM documents), {_gate_sql('c')} SELECT source, count(*) AS total, count(*) FILTER (reason IS NULL) AS kept, count(*) FILTER (reason IS NOT NULL) AS rejected FROM gated GROUP BY source")
@@ -436,6 +436,25 @@ def event_windows(spark, d):
     return windowed_counts(table(spark, d, "events"), slide="30 minutes").select("start", "end", "event_type", "n")
 
 
+@query("""SELECT event_id, CASE WHEN epoch(ts) - epoch(first_value(ts) OVER w) > 0 THEN (n - first_value(n) OVER w) / (epoch(ts) - epoch(first_value(ts) OVER w)) END AS rate
+FROM (SELECT event_id, event_type, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events) WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""")
+def sliding_rate(spark, d):
+    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000
+    n = F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
+    df = table(spark, d, "events").withColumns({"s": seconds, "n": n})
+    return alerts.sliding_rate(df, "event_type", ["ts", "event_id"], "n", "s").select("event_id", "rate")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey < 1000 THEN 0.0003::DOUBLE * (o_orderkey + 1) / 1000 ELSE 0.00003::DOUBLE + 0.5 * (1 + cos(pi() * least(1.0, (o_orderkey - 1000) / 9000.0::DOUBLE))) * (0.0003::DOUBLE - 0.00003::DOUBLE) END AS lr FROM orders")
+def learning_rate(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", M.learning_rate(F.col("o_orderkey"), 1000, 10_000, 0.0003, 0.00003).alias("lr"))
+
+
+@query("SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS \"end\", count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM (SELECT *, coalesce((ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE)::INTEGER, 1) AS new FROM events)) GROUP BY user_id, s")
+def user_sessions(spark, d):
+    return sessions(table(spark, d, "events"))
+
+
 # --- near duplicates --------------------------------------------------------
 @query()
 def near_dedup_greedy(spark, d):

@@ -196,3 +196,20 @@ def test_stream_ingest(spark, tmp_path):
     q = incremental.ingest(spark, str(tmp_path / "in"), "doc_id long, source string, text string", str(tmp_path / "out"), str(tmp_path / "ck"))
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_fused_objects(spark):
+    lines = spark.createDataFrame([(0, '{"a": "}{"}{"b": 1}'), (1, "[1] x"), (2, "")], "line_no long, raw string")
+    got = sorted((r.line_no, r.place, r.object, r.valid) for r in index.fused_objects(lines).collect())
+    assert got == [(0, 0, '{"a": "}{"}', True), (0, 1, '{"b": 1}', True), (1, 0, "[1]", True), (1, 1, "x", False)]
+
+
+def test_log_line(spark):
+    got = one(spark, M.log_fields(F.col("t")), t="[step 121,900/478,000] loss 3.2730 | lr 1e-4 | 123.9k tok/s")
+    assert (got.step, got.steps, got.loss, got.ktok) == (121900, 478000, 3.273, 123.9)
+    assert one(spark, M.log_fields(F.col("t")), t="nothing").loss is None
+
+
+def test_learning_rate(spark):
+    got = [one(spark, M.learning_rate(F.col("s"), 10, 110, 1.0, 0.1), s=s) for s in (0, 9, 10, 60, 110, 500)]
+    assert got == pytest.approx([0.1, 1.0, 1.0, 0.55, 0.1, 0.1])
