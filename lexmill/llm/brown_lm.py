@@ -2,14 +2,19 @@
 
 Counts cover every training text.  Words are told apart by their 64-bit hash.
 
-* Units: the ``own_units`` commonest words stand for themselves, every other word
-  for one of ``suffix_units`` spelling units (a hash of its last three bytes), so
-  seen and unseen words alike have a unit.  The table of neighbouring units has at
-  most (units + 1) ** 2 cells whatever the corpus, and is all that the driver gets.
-* Exchange: starting from classes dealt by frequency, each unit in turn moves to
-  the class that raises the likelihood of the class bigrams most, until nothing
-  moves or ``sweeps`` is reached.
-* A word's class is its unit's.  log10 p(w | v) = log10 p(class w | class v) +
+* Vocabulary: every word that occurs ``least`` times has a class of its own, so what
+  is learned grows with the corpus; rarer and unseen words have the class of one of
+  ``suffix_units`` spelling units (a hash of the last three bytes).
+* Exchange: the ``own_units`` commonest words and the spelling units come first.
+  Starting from classes dealt by frequency, each in turn moves to the class that
+  raises the likelihood of the class bigrams most, until nothing moves or ``sweeps``
+  is reached.
+* The other words of the vocabulary start from their spelling's class.  In each of
+  ``rounds`` their bigrams with classes are counted over all texts as a sparse table
+  (word and class, by side), and each word moves to its best class against the
+  class bigrams as they stand.  Words of a round move together, so a round that
+  doesn't raise the likelihood is taken back and is the last.  The driver gets the
+  vocabulary's hashes and classes, and class bigrams.  log10 p(w | v) = log10 p(class w | class v) +
   log10 p(w | class w); transitions are smoothed towards the class shares, and
   emissions by one count for each word of the class and one for unseen words.
 
@@ -40,7 +45,9 @@ _FLUSH = 1 << 20
 
 @dataclass(frozen=True)
 class LmParams:
-    own_units: int = 768
+    own_units: int = 768  #: words that are exchanged one by one
+    least: int = 8  #: occurrences from which a word has a class of its own
+    rounds: int = 2  #: batches of moves of the other words of the vocabulary
     suffix_units: int = 256
     classes: int = 64
     sweeps: int = 8
@@ -106,10 +113,18 @@ def unit_ids(w: Words, own: np.ndarray, p: LmParams) -> np.ndarray:
     return unit
 
 
-def steps(w: Words, unit: np.ndarray, p: LmParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, unit before, unit) of all tokens, ends included; ``p.units`` is the start before and the end after."""
+def class_ids(w: Words, own: np.ndarray, cls: np.ndarray, p: LmParams) -> tuple[np.ndarray, np.ndarray]:
+    """Place in ``own`` (-1: none) and class of each word; ``cls`` has the classes of ``own`` and then of the spelling units."""
+    place = np.full(len(w.hash), -1, dtype=np.int64)
+    if len(own):
+        at = np.minimum(np.searchsorted(own, w.hash), len(own) - 1)
+        place = np.where(own[at] == w.hash, at, -1)
+    return place, cls[np.where(place >= 0, place, suffix_unit(w, p) + len(own))].astype(np.int64)
+
+
+def steps(w: Words, unit: np.ndarray, edge: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, unit before, unit) of all tokens, ends included; ``edge`` is the start before and the end after."""
     bounds = w.per_doc()
-    edge = p.units
     # one place more in each document, for its end
     place = np.arange(len(unit)) + w.doc
     after = np.full(len(unit) + w.docs, edge, dtype=np.int64)
@@ -126,7 +141,24 @@ def _pairer(shared, p: LmParams):
         total = np.zeros(side * side, dtype=np.int64)
         for batch in batches:
             for w in words_of(batch.column("text")):
-                _, before, after = steps(w, unit_ids(w, shared.value, p), p)
+                _, before, after = steps(w, unit_ids(w, shared.value, p), p.units)
+                total += np.bincount(before * side + after, minlength=side * side)
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "c"])
+
+    return pair
+
+
+def _class_pairer(shared, p: LmParams):
+    """Bigrams of classes."""
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, cls, _ = shared.value
+        side = p.classes + 1
+        total = np.zeros(side * side, dtype=np.int64)
+        for batch in batches:
+            for w in words_of(batch.column("text")):
+                _, before, after = steps(w, class_ids(w, own, cls, p)[1], p.classes)
                 total += np.bincount(before * side + after, minlength=side * side)
         cell = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "c"])
@@ -134,6 +166,129 @@ def _pairer(shared, p: LmParams):
     return pair
 
 
+def _contexts(shared, p: LmParams):
+    """Sparse counts of the words in batches: (word, place in its row, c); classes after it, classes before it, and itself after itself."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, cls, core = shared.value
+        side = p.classes + 1
+        width = 2 * side + 1
+        held: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        rows = 0
+
+        def out() -> pa.RecordBatch:
+            key, c = np.concatenate(held), np.concatenate(counts)
+            order = np.argsort(key, kind="stable")
+            key, c = key[order], c[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            key, c = key[first], np.add.reduceat(c, first)
+            held.clear()
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(key // width), pa.array(key % width), pa.array(c)], names=["word", "slot", "c"])
+
+        for batch in batches:
+            for w in words_of(batch.column("text")):
+                place, of = class_ids(w, own, cls, p)
+                moving = np.where((place >= 0) & ~core[place], place, -1) if len(own) else place
+                _, before, after = steps(w, of, p.classes)
+                _, left, right = steps(w, moving, -1)
+                a, b = left >= 0, right >= 0
+                twice = a & (left == right)
+                key = np.concatenate([left[a] * width + after[a], right[b] * width + side + before[b], left[twice] * width + 2 * side])
+                if len(key):
+                    key, c = np.unique(key, return_counts=True)
+                    held.append(key)
+                    counts.append(c.astype(np.int64))
+                    rows += len(key)
+                if rows >= _FLUSH:
+                    yield out()
+                    rows = 0
+        if held:
+            yield out()
+
+    return count
+
+
+def best_classes(word: np.ndarray, slot: np.ndarray, c: np.ndarray, cls: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word, class) of the words that gain by leaving ``cls``; rows are sorted by word, ``g`` counts the bigrams of classes with the edge last."""
+    side = len(g)
+    k = side - 1
+    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    words, at = word[first], np.cumsum(np.concatenate([[True], word[1:] != word[:-1]])) - 1
+    n = len(words)
+    rl = np.zeros((2, n, side))
+    mine = np.zeros(n)
+    right, left, self_ = slot < side, (slot >= side) & (slot < 2 * side), slot == 2 * side
+    rl[0, at[right], slot[right]] = c[right]
+    rl[1, at[left], slot[left] - side] = c[left]
+    mine[at[self_]] = c[self_]
+    own = cls[words].astype(np.int64)
+    rows = np.arange(n)
+    out_of, into = rl[0].sum(1), rl[1].sum(1)
+    # its bigrams with itself move with it
+    rl[0, rows, own] -= mine
+    rl[1, rows, own] -= mine
+    r, l = rl
+    # cell (b, b) without the word: both of its parts leave, and its bigrams with itself
+    diag = np.tile(np.diagonal(g)[:k], (n, 1))
+    diag[rows, own] -= r[rows, own] + l[rows, own] + mine
+    gain = _xlogx(diag + r[:, :k] + l[:, :k] + mine[:, None]) - _xlogx(diag + r[:, :k]) - _xlogx(diag + l[:, :k]) + _xlogx(diag)
+    # only the cells of the classes around it change
+    for near, far, cells in ((r, l, g), (l, r, g.T)):
+        i, c = np.nonzero(near)
+        if not len(i):
+            continue
+        v = near[i, c]
+        now = cells[:k, c].T.copy()
+        here = c == own[i]
+        now[here] -= far[i[here], :k]
+        now[np.arange(len(i)), own[i]] -= v
+        inner = np.flatnonzero(c < k)
+        now[inner, c[inner]] = diag[i[inner], c[inner]]
+        heads = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]]))
+        gain[i[heads]] += np.add.reduceat(_xlogx(now + v[:, None]) - _xlogx(now), heads)
+    for total, part in ((g.sum(1)[:k], out_of), (g.sum(0)[:k], into)):
+        left_over = np.tile(total, (n, 1))
+        left_over[rows, own] -= part
+        gain -= _xlogx(left_over + part[:, None]) - _xlogx(left_over)
+    best = gain.argmax(1)
+    go = gain[rows, best] > gain[rows, own] + 1e-9
+    return words[go], best[go]
+
+
+def _mover(shared):
+    """Rows come sorted by word; a word's rows are never parted."""
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cls, g = shared.value
+        rest = [np.zeros(0, np.int64)] * 3
+
+        def out(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            # a few thousand words at a time: the working set is dense
+            starts = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))[::2048]
+            for a, b in zip(starts, np.append(starts[1:], len(cols[0])), strict=True):
+                words, to = best_classes(*(x[a:b] for x in cols), cls, g)
+                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(to.astype(np.int64))], names=["word", "cls"])
+
+        for batch in batches:
+            cols = [np.concatenate([x, batch.column(k).to_numpy()]) for x, k in zip(rest, ("word", "slot", "c"), strict=True)]
+            if not len(cols[0]):
+                continue
+            whole = int(np.searchsorted(cols[0], cols[0][-1]))
+            rest = [x[whole:] for x in cols]
+            if whole:
+                yield from out([x[:whole] for x in cols])
+        if len(rest[0]):
+            yield from out(rest)
+
+    return move
+
+
+def likelihood(g: np.ndarray) -> float:
+    return float(_xlogx(g).sum() - _xlogx(g.sum(0)).sum() - _xlogx(g.sum(1)).sum())
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -188,8 +343,8 @@ def exchange(n: np.ndarray, p: LmParams) -> np.ndarray:
 
 @dataclass
 class Model:
-    own: np.ndarray  #: sorted hashes of the words that are units
-    cls: np.ndarray  #: class by unit; one more for the start before and the end after
+    own: np.ndarray  #: sorted hashes of the vocabulary
+    cls: np.ndarray  #: its classes, then those of the spelling units
     move: np.ndarray  #: log10 of transitions
     room: np.ndarray  #: log10 of the emissions' denominators, by class; 0 for the end
     head: np.ndarray  #: sorted hashes
@@ -209,9 +364,8 @@ def _scorer(shared, p: LmParams):
         log_head, log_end = np.log10(m.head_count + 1.0), float(np.log10(m.ends + 1.0))
         for batch in batches:
             for w in words_of(batch.column("text")):
-                doc, before, after = steps(w, unit_ids(w, m.own, p), p)
-                cls = m.cls[after]
-                moves = np.bincount(doc, m.move[m.cls[before], cls] - m.room[cls], w.docs)
+                doc, before, cls = steps(w, class_ids(w, m.own, m.cls, p)[1], p.classes)
+                moves = np.bincount(doc, m.move[before, cls] - m.room[cls], w.docs)
                 if len(m.head):
                     at = np.minimum(np.searchsorted(m.head, w.hash), len(m.head) - 1)
                     known = m.head[at] == w.hash
@@ -252,28 +406,58 @@ def learn(docs: DataFrame, ws: Workspace, p: LmParams = LmParams()) -> tuple[Mod
         least = g
     in_head = F.lit(False) if least is None else grade >= least
     head = counts.filter(in_head).toPandas().sort_values(["c", "h"], ascending=[False, True], ignore_index=True)
-    own = np.sort(head["h"].to_numpy(np.int64)[: p.own_units].view(np.uint64))
+    core = np.sort(head["h"].to_numpy(np.int64)[: p.own_units].view(np.uint64))
 
     side = p.units + 1
-    cells = training.mapInArrow(_pairer(spark.sparkContext.broadcast(own), p), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
+    cells = training.mapInArrow(_pairer(spark.sparkContext.broadcast(core), p), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
     n = np.zeros(side * side, dtype=np.int64)
     n[cells["cell"].to_numpy(np.int64)] = cells["c"].to_numpy(np.int64)
     n = n.reshape(side, side)
-    cls = np.append(exchange(n[:-1, :-1], p), p.classes)
+    first = exchange(n[:-1, :-1], p)
 
-    hot = np.eye(p.classes + 1, dtype=np.int64)[cls]
+    # the vocabulary: words of the first exchange keep its classes, the others start from their spelling's
+    words_own = counts.filter(F.col("c") >= p.least).select("h", F.col("unit").cast("int").alias("unit")).toPandas()
+    h, unit = words_own["h"].to_numpy(np.int64).view(np.uint64), words_own["unit"].to_numpy(np.int64)
+    missing = ~np.isin(head["h"].to_numpy(np.int64)[: p.own_units].view(np.uint64), h)
+    h, unit = np.concatenate([h, head["h"].to_numpy(np.int64)[: p.own_units].view(np.uint64)[missing]]), np.concatenate([unit, head["unit"].to_numpy(np.int64)[: p.own_units][missing]])
+    order = np.argsort(h, kind="stable")
+    own, unit = h[order], unit[order]
+    is_core = np.isin(own, core)
+    of = first[p.own_units + unit]
+    of[is_core] = first[: len(core)]
+    cls = np.concatenate([of, first[p.own_units :]]).astype(np.int16)
+    kinds_rare = np.zeros(p.suffix_units, dtype=np.int64)
+    for r in counts.groupBy("unit").agg(F.count("*").alias("n")).collect():
+        kinds_rare[r.unit] = r.n
+    kinds_rare -= np.bincount(unit, minlength=p.suffix_units)
+
+    def bigrams(cls: np.ndarray):
+        shared = spark.sparkContext.broadcast((own, cls, is_core))
+        cells = training.mapInArrow(_class_pairer(shared, p), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
+        g = np.zeros((p.classes + 1) ** 2)
+        g[cells["cell"].to_numpy(np.int64)] = cells["c"].to_numpy(np.int64)
+        return shared, g.reshape(p.classes + 1, p.classes + 1)
+
+    edge = np.append(first, p.classes)
+    hot = np.eye(p.classes + 1, dtype=np.int64)[edge]
     g = (hot.T @ n @ hot).astype(float)
+    shared = spark.sparkContext.broadcast((own, cls, is_core))
+    for _ in range(p.rounds if (~is_core).any() else 0):
+        table = training.mapInArrow(_contexts(shared, p), "word long, slot long, c long").groupBy("word", "slot").agg(F.sum("c").alias("c"))
+        moves = table.repartition("word").sortWithinPartitions("word", "slot").mapInArrow(_mover(spark.sparkContext.broadcast((cls, g))), "word long, cls long").toPandas()
+        if not len(moves):
+            break
+        new = cls.copy()
+        new[moves["word"].to_numpy(np.int64)] = moves["cls"].to_numpy(np.int64)
+        shared, now = bigrams(new)
+        if likelihood(now) <= likelihood(g):
+            break
+        cls, g = new, now
+
     share = (g.sum(0) + 1) / (g.sum() + p.classes + 1)
     move = np.log10((g + p.beta * share) / (g.sum(1, keepdims=True) + p.beta))
-    kinds = np.zeros(p.units)
-    for r in counts.groupBy("unit").agg(F.count("*").alias("n")).collect():
-        kinds[p.own_units + r.unit] = r.n
-    if len(own):  # words that are units of their own leave their spelling unit
-        mine = head.iloc[: p.own_units]
-        np.subtract.at(kinds, p.own_units + mine["unit"].to_numpy(np.int64), 1)
-        kinds[: len(own)] = 1
-    size = n.sum(0)[:-1]
-    room = np.append(np.log10(np.bincount(cls[:-1], size + kinds, p.classes) + 1), 0.0)
+    kinds = np.bincount(cls, np.concatenate([np.ones(len(own)), kinds_rare]), p.classes)
+    room = np.append(np.log10(g.sum(0)[:-1] + kinds + 1), 0.0)
     order = np.argsort(head["h"].to_numpy(np.int64).view(np.uint64), kind="stable")
     model = Model(own, cls, move, room, head["h"].to_numpy(np.int64).view(np.uint64)[order], head["c"].to_numpy(np.int64)[order], ends, tokens + ends, words + (ends > 0))
     return model, counts.filter(~in_head).select("h", "c")

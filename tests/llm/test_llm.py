@@ -148,6 +148,40 @@ def test_exchange_raises_the_likelihood():
     assert value(cls) >= value(rng.integers(0, 3, 30)) and len({tuple(cls[np.arange(30) % 3 == k]) for k in range(3)}) == 3
 
 
+def test_words_beyond_the_core_learn_classes(spark):
+    """Words of one spelling unit part by what stands around them."""
+    rng = random.Random(3)
+    a, b = [f"n{i}x" for i in range(20)], [f"v{i}x" for i in range(20)]
+    weights = [20 - 0.8 * i for i in range(20)]
+    texts = [" ".join(x for _ in range(10) for x in ("the", rng.choices(a, weights)[0], "to", rng.choices(b, weights)[0])) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model, _ = brown_lm.learn(df, Workspace(spark, "t"), brown_lm.LmParams(own_units=12, suffix_units=1, classes=5))
+    own = {w: model.cls[np.searchsorted(model.own, next(textbytes.words_of(pa.array([w]))).hash[0])] for w in [*a, *b]}
+    assert len(model.own) == 42 and not {own[w] for w in a} & {own[w] for w in b}
+
+
+def test_batch_moves_equal_brute_force():
+    rng = np.random.default_rng(6)
+    n = rng.poisson(0.7, (31, 31))  # the last is the edge
+    n[-1, -1] = 0
+    cls = rng.integers(0, 4, 30)
+
+    def cells(c):
+        hot = np.eye(5, dtype=int)[np.append(c, 4)]
+        return (hot.T @ n @ hot).astype(float), hot
+
+    g, hot = cells(cls)
+    right, left = n @ hot, hot.T @ n
+    rows = [(i, s, x) for i in range(30) for s, x in enumerate([*right[i], *left[:, i], n[i, i]]) if x]
+    got = dict(zip(*(x.tolist() for x in brown_lm.best_classes(*np.array(rows).T, cls, g)), strict=True))
+    want = {}
+    for i in range(30):
+        values = [brown_lm.likelihood(cells(np.where(np.arange(30) == i, b, cls))[0]) for b in range(4)]
+        if max(values) > values[cls[i]] + 1e-9:
+            want[i] = int(np.argmax(values))
+    assert got == want and want
+
+
 def test_masks_reach_every_overlap():
     for size, errors in [(13, 2), *((k, 1) for k in range(8, 13))]:
         for bad in itertools.combinations(range(size), errors):
