@@ -12,7 +12,7 @@ from ..functions.metrics import quality_score
 from ..operators import blend
 from ..operators.dedup import near_dedup
 from ..operators.gates import clean_documents, gate_counts
-from ..operators.select import head_per_group, top_share
+from ..operators.select import top_share
 from ..sources.sinks import staged
 
 
@@ -27,14 +27,10 @@ def clean_corpus(docs: DataFrame) -> Cleaned:
     return Cleaned(marked.filter("reason is null").drop("reason"), gate_counts(marked))
 
 
-def quality_threshold(docs: DataFrame, share: float = 0.85, sample: int = 500_000, premium: tuple[str, ...] = PREMIUM_SOURCES) -> float | None:
-    """The score that ``share`` of the scored sources' first documents reach; each source gives its part of ``sample``."""
-    scored = docs.filter(~F.col("source").isin(*premium))
-    n = scored.select("source").distinct().count()
-    if not n:
-        return None
-    first = head_per_group(scored, "source", ["ord"], max(1, sample // n)).select(quality_score(F.col("text")).alias("score"))
-    return top_share(first, "score", share).agg(F.min("score")).first()[0]
+def quality_threshold(docs: DataFrame, share: float = 0.85, premium: tuple[str, ...] = PREMIUM_SOURCES) -> float | None:
+    """The score that ``share`` of the scored sources' documents reach."""
+    scores = staged(docs.filter(~F.col("source").isin(*premium)).select(quality_score(F.col("text")).alias("score")))
+    return top_share(scores, "score", share).agg(F.min("score")).first()[0]
 
 
 def dedup_quality(docs: DataFrame, p: MinHashParams = MinHashParams(), share: float = 0.85, premium: tuple[str, ...] = PREMIUM_SOURCES, threshold: float | None = None, least: int = 50) -> DataFrame:

@@ -213,3 +213,14 @@ def test_log_line(spark):
 def test_learning_rate(spark):
     got = [one(spark, M.learning_rate(F.col("s"), 10, 110, 1.0, 0.1), s=s) for s in (0, 9, 10, 60, 110, 500)]
     assert got == pytest.approx([0.1, 1.0, 1.0, 0.55, 0.1, 0.1])
+
+
+def test_quality_threshold_covers_all_documents(spark):
+    """A large source's weak documents count wherever they stand."""
+    from lexmill.functions.metrics import quality_score
+    from lexmill.plans.corpus import quality_threshold
+
+    good, bad = "The house of the old town was built by the river and the people live there in peace. ", "x9 ## 77 !! zzkt "
+    docs = spark.range(300_000).select(F.col("id").alias("ord"), F.when(F.col("id") == 0, "small").otherwise("hot").alias("source"), F.when(F.col("id") < 250_005, good).otherwise(bad).alias("text"))
+    score = {r.text: r.s for r in docs.select("text").distinct().select("text", quality_score(F.col("text")).alias("s")).collect()}
+    assert score[bad] < score[good] and quality_threshold(docs) == score[bad]
