@@ -363,6 +363,16 @@ def test_chat_threads(spark, duck):
     assert len(pdf) and chat_threads.reply_ordered(df.limit(0)).count() == 0
 
 
+def test_trimmed_quotes_link(spark):
+    rows = [
+        (1, 0, "user", "ok\nunrelated"), (1, 1, "assistant", "first line\nsecond line\nthird line\n\npara two\ngoes on\n\npara three"), (1, 2, "user", "ok\nother things"),
+        (1, 3, "assistant", "> second line\n> third line\nyes"), (1, 4, "user", "> para two\n> goes on\n>\n> para three\nno"), (1, 5, "assistant", "> ok\n> other things\nwell"),
+        (1, 6, "user", "> first line second line third line\n>\n> para three\nwrapped anew"), (1, 7, "assistant", "> first line\n> [...]\n> para three\ncut"), (1, 8, "user", "> never\n> said\n> ok\nhm"),
+    ]
+    got = {r.turn: (r.reply_to, r.thread, r.n_quotes, r.n_linked) for r in chat_threads.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert [got[k] for k in (3, 4, 6, 7)] == [(1, 1, 1, 1)] * 4 and got[5] == (2, 2, 1, 1) and got[8] == (None, 8, 1, 0)
+
+
 def test_pipeline_equals_its_parts(spark, small):
     docs = table(spark, SMALL, "documents")
     kept = corpus_pipeline.quality(spark, docs, SMALL)
