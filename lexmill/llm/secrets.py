@@ -4,10 +4,12 @@ Base kinds are ``assign``, ``access`` and ``hex``.  The method adds ``entropy``
 spans: in each candidate string (a maximal run of letters, digits and ``+/_=-``)
 a window slides along, the counts of its characters and the sum of c*log2(c) are
 kept up by one step in and one step out, and windows are judged by the Shannon
-entropy that the candidate's character class must reach (hex digits, letters and
-digits, or all).  A window needs two letters and two digits.  Candidates on the
-allow-list are suppressed: UUIDs, known examples, and strings whose parts between
-separators are plain words or plain numbers.
+entropy that the candidate's character class must reach (digits, hex digits,
+letters of one case, letters and digits, or all).  A window has 20 characters; that
+of a candidate of 16 to 19 is the whole of it, and needs less.  Candidates on the
+allow-list are suppressed: UUIDs, known examples, and strings of several parts
+between separators or of capitalised words, with a number behind at most.  A string
+of one case or of digits alone is judged, as keys can be made of them.
 
 Positions are code points, ends exclusive.  Texts are scanned whole: numpy finds
 the documents that can hold a match, and only those are searched in full.
@@ -40,20 +42,23 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _UUID = re.compile(r"(?ia)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
-_PLAIN = re.compile(r"([A-Za-z]?[a-z]*|[A-Z]+|[0-9]+)([-_/+=]+([A-Za-z]?[a-z]*|[A-Z]+|[0-9]+))*")
+_PART = r"(?:(?:[A-Z]?[a-z]{2,}+)*+[0-9]{0,4}|[A-Za-z][a-z]*+[0-9]{0,4}|[A-Z]++[0-9]{0,4}|[0-9]++)(?![A-Za-z0-9])"
+_PLAIN = re.compile(rf"{_PART}(?:[-_/+=]++{_PART})*+")
+_ONE_CASE = re.compile(r"[a-z]+|[A-Z]+")
 _HEX_ONLY = re.compile(r"[0-9A-Fa-f]+")
 
 _IS_HEX = np.zeros(256, dtype=bool)
 _IS_HEX[list(b"0123456789abcdef")] = True
 _IS_CANDIDATE = np.zeros(256, dtype=bool)
 _IS_CANDIDATE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
-_IS_DIGIT = np.zeros(256, dtype=bool)
-_IS_DIGIT[48:58] = True
 
 
 @dataclass(frozen=True)
 class SecretParams:
     window: int = 20
+    least: int = 16  #: characters of the shortest candidate
+    digit_bits: float = 2.8
+    letter_bits: float = 3.6  #: letters of one case
     hex_bits: float = 3.0
     alnum_bits: float = 3.6
     base64_bits: float = 3.8
@@ -69,15 +74,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def allowed(s: str, p: SecretParams) -> bool:
+    if s.isdigit() or _ONE_CASE.fullmatch(s):
+        return s in p.allow
     return s in p.allow or bool(_UUID.fullmatch(s)) or bool(_PLAIN.fullmatch(s))
 
 
+def threshold(s: str, w: int, p: SecretParams) -> float:
+    """Bits that a window of ``w`` must reach; a shorter one has fewer at best."""
+    need = p.digit_bits if s.isdigit() else p.hex_bits if _HEX_ONLY.fullmatch(s) else p.letter_bits if _ONE_CASE.fullmatch(s) else p.alnum_bits if s.isalnum() else p.base64_bits
+    return need - 0.7 * log2(p.window / w)
+
+
 def hot_windows(s: str, p: SecretParams) -> list[tuple[int, int]]:
     """Maximal runs of windows over the threshold of the string's class."""
-    need = p.hex_bits if _HEX_ONLY.fullmatch(s) else p.alnum_bits if s.isalnum() else p.base64_bits
-    n, w = len(s), p.window
+    n, w = len(s), min(len(s), p.window)
+    need = threshold(s, w, p) if w else 0.0
     counts: dict[str, int] = {}
-    weight, letters, digits = 0.0, 0, 0  # sum of c * log2(c)
+    weight = 0.0  # sum of c * log2(c)
     term = [0.0] + [c * log2(c) for c in range(1, w + 1)]
     out: list[tuple[int, int]] = []
     for i in range(n):
@@ -85,16 +98,12 @@ def hot_windows(s: str, p: SecretParams) -> list[tuple[int, int]]:
         k = counts.get(c, 0)
         weight += term[k + 1] - term[k]
         counts[c] = k + 1
-        letters += c.isalpha()
-        digits += c.isdigit()
         if i >= w:
             c = s[i - w]
             k = counts[c]
             weight += term[k - 1] - term[k]
             counts[c] = k - 1
-            letters -= c.isalpha()
-            digits -= c.isdigit()
-        if i >= w - 1 and letters >= 2 and digits >= 2 and log2(w) - weight / w >= need:
+        if i >= w - 1 and log2(w) - weight / w >= need:
             a = i - w + 1
             if out and out[-1][1] >= a:
                 out[-1] = (out[-1][0], i + 1)
@@ -108,7 +117,7 @@ def entropy_spans(text: str, base: list[tuple[int, int, int]], p: SecretParams)
     out = []
     for m in _CANDIDATE.finditer(text):
         s = m[0]
-        if len(s) < p.window or not re.search("[0-9]", s) or allowed(s, p):
+        if len(s) < p.least or allowed(s, p):
             continue
         for a, b in hot_windows(s, p):
             a, b = a + m.start(), b + m.start()
@@ -142,11 +151,7 @@ def _runs(flags: np.ndarray, n: int) -> np.ndarray:
 
 def suspects(raw: np.ndarray, bounds: np.ndarray, p: SecretParams) -> np.ndarray:
     """Rows of a chunk that can have a span; the others have none."""
-    at = [_runs(_IS_HEX[raw], 32)]
-    run = _runs(_IS_CANDIDATE[raw], p.window)
-    if len(run):
-        digits = np.concatenate([[0], np.cumsum(_IS_DIGIT[raw])])
-        at.append(run[digits[run + p.window] > digits[run]])
+    at = [_runs(_IS_HEX[raw], 32), _runs(_IS_CANDIDATE[raw], p.least)]
     for data, words in ((raw.tobytes(), (b"AKIA",)), (_LOWER[raw].tobytes(), _KEYWORDS)):
         for word in words:
             k, found = data.find(word), []

@@ -297,6 +297,16 @@ def test_secrets(spark, small, odd):
     assert got[1].text == "a [SECRET]\" é token:x [SECRET] [SECRET] plain words" and got[1].n_chars == len(got[1].text) and got[2].text is None
 
 
+def test_secrets_of_every_class():
+    rng = random.Random(11)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    for own, size, most in ((upper + lower + digits, 16, 0.03), (upper + lower + digits, 20, 0.02), (upper + lower + digits, 24, 0.01), (upper + lower, 20, 0.05), (digits, 20, 0.25), (lower, 24, 0.4)):
+        missed = sum(not secrets.scan_text("".join(rng.choice(own) for _ in range(size)))[5] for _ in range(1000))
+        assert missed <= 1000 * most, (own, size, missed)
+    for word in ("Donaudampfschifffahrt", "getElementsByTagName", "some_long_identifier_name2", "2024-05-06/12345678/1234"):
+        assert secrets.scan_text(word)[5] == 0
+
+
 def test_entropy_by_steps_equals_counts():
     rng = random.Random(9)
     p = secrets.SecretParams()
