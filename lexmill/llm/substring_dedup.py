@@ -8,9 +8,12 @@ in the same document or another, is removed.
    only the pieces around such anchors go on; the runs of a piece and its strings
    never part.
 2. Pieces are dealt by anchor, and each task sorts the suffixes of its pieces in
-   shards (see ``suffix_sort``; its queues and arrays spill to disk, so the pieces
-   of one hot anchor may exceed memory).  Strings that are neighbours in suffix
-   order with a common prefix of ``length`` bytes repeat.
+   shards (see ``suffix_sort``).  Strings that are neighbours in suffix order with a
+   common prefix of ``length`` bytes repeat.  An anchor whose different pieces are
+   more than a shard is parted: strings with nearly the same offset to their anchor
+   go by a hash of the bytes that all such strings share, in narrowing steps down to
+   the whole string.  Equal strings stay together at each step, and a shard is at
+   most about twice ``shard_bytes``, or one piece of a text if that is more.
 3. Their spans are merged per text and cut out.
 
 Copies of a text are not compared with each other: a text that stands in several
@@ -32,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import anchor_runs
+from .anchors import GRAM, anchor_runs, gram_hashes, sliding_least
 from .suffix_sort import repeated_starts
-from .textbytes import as_long, chunks, column_bytes
+from .textbytes import _U, as_long, chunks, column_bytes
 from .workspace import Workspace
 
 NOTHING = hashlib.sha256(b"").hexdigest()
@@ -45,7 +48,7 @@ _PIECE = "a long, key string, s0 long, piece binary"
 @dataclass(frozen=True)
 class SubstringParams:
     length: int = 400
-    shard_bytes: int = 2_000_000  #: pieces sorted together; one anchor's are never parted
+    shard_bytes: int = 2_000_000  #: pieces sorted together, and the most that one group of them may have
     sort_bytes: int = 128_000_000  #: memory of a sort's queues and of each of its arrays
 
 
@@ -84,41 +87,91 @@ def _cutter(p: SubstringParams):
     return cut
 
 
+def split_piece(a: int, piece: bytes, w: int, length: int) -> Iterator[tuple[int, int, int]]:
+    """(group, first start, last start) of the strings of a piece, by anchor and offset to it in steps of ``w``."""
+    raw = np.frombuffer(piece, dtype=np.uint8)
+    h = gram_hashes(raw, GRAM)
+    best = sliding_least((h >> _U(32) << _U(32)) | np.arange(len(h), dtype=_U), length - GRAM + 1)
+    place = (best & _U(0xFFFFFFFF)).astype(np.int64)
+    step = (place - np.arange(len(place))) // w
+    first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (step[1:] != step[:-1])]))
+    for x, y in zip(first.tolist(), [*(first[1:] - 1).tolist(), len(place) - 1], strict=True):
+        at, b = int(place[x]), int(step[x])
+        core = piece[at - b * w : at - (b + 1) * w + 1 + length]
+        yield int.from_bytes(hashlib.blake2b(core, digest_size=8, key=b"%d %d %d" % (a, w, b)).digest(), "little", signed=True), x, y
+
+
+def _splitter(w: int, p: SubstringParams):
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (g, key, s0 + x, piece[x : y + p.length])
+                for a, key, s0, piece in zip(*(batch.column(k).to_pylist() for k in ("a", "key", "s0", "piece")), strict=True)
+                for g, x, y in split_piece(a, piece, w, p.length)
+            ]
+            cols = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.binary()), strict=True)], names=["a", "key", "s0", "piece"])
+
+    return split
+
+
+def parted(pieces: DataFrame, p: SubstringParams, ws: Workspace) -> DataFrame:
+    """The pieces with groups as their anchors, so that no group's different pieces are more than a shard."""
+    done, now = None, ws.save(pieces, "hot-0")
+    for k, w in enumerate(sorted({max(1, p.length // 8), max(1, p.length // 64), 1}, reverse=True)):
+        kinds = now.groupBy("a", F.xxhash64("piece").alias("x")).agg(F.max(F.length("piece")).cast("long").alias("n"))
+        big = ws.save(kinds.groupBy("a").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).filter((F.col("n") > p.shard_bytes) & (F.col("kinds") > 1)).select("a"), f"big-{k}")
+        small = now.join(F.broadcast(big), "a", "left_anti")
+        done = small if done is None else done.unionByName(small)
+        if big.isEmpty():
+            return done
+        split = ws.save(now.join(F.broadcast(big), "a", "left_semi").select("a", "key", "s0", "piece").mapInArrow(_splitter(w, p), _PIECE), f"split-{k}")
+        now = split.join(split.groupBy("a").agg(F.count("*").alias("c")).filter("c > 1").select("a"), "a", "left_semi")
+        now = ws.save(now.select("a", "key", "s0", "piece"), f"hot-{k + 1}")
+        ws.drop(f"split-{k}")
+    return done.unionByName(now)
+
+
 def _sorter(p: SubstringParams):
     """Rows come sorted by anchor, so an anchor's pieces follow each other."""
 
-    def shard(own: dict[tuple[int, bytes], list[tuple[str, int]]]) -> Iterator[tuple[str, int, int]]:
-        # one and the same piece in several places repeats whole, and is sorted once
+    def shard(own: dict[tuple[int, bytes], list]) -> Iterator[tuple[str, int, int]]:
         distinct = list(own)
-        for flags, (piece, where) in zip(repeated_starts([x for _, x in distinct], p.length, p.sort_bytes), own.items(), strict=True):
-            if len(where) > 1:
-                flags = np.ones(len(piece[1]) - p.length + 1, dtype=bool)
+        for flags, (key, s0, again) in zip(repeated_starts([x for _, x in distinct], p.length, p.sort_bytes), own.values(), strict=True):
+            if again:
+                flags = np.ones(len(flags), dtype=bool)
             edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
             for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
-                for key, s0 in where:
-                    yield key, s0 + a, s0 + b - 1 + p.length
-
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[tuple[int, bytes], list[tuple[str, int]]] = {}
-        size, last = 0, None
+                yield key, s0 + a, s0 + b - 1 + p.length
 
-        def out() -> pa.RecordBatch:
-            cols = list(zip(*shard(own), strict=True)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()), strict=True)], names=["key", "b", "e"])
+    def rows(spans: list[tuple[str, int, int]]) -> pa.RecordBatch:
+        cols = list(zip(*spans, strict=True)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()), strict=True)], names=["key", "b", "e"])
 
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[tuple[int, bytes], list] = {}
+        size, last = 0, (None, None, None)
         for batch in batches:
+            whole: list[tuple[str, int, int]] = []
             for a, key, s0, piece in zip(*(batch.column(k).to_pylist() for k in ("a", "key", "s0", "piece")), strict=True):
-                if a != last and size >= p.shard_bytes:
-                    yield out()
+                if a != last[0] and size >= p.shard_bytes:
+                    yield rows(list(shard(own)))
                     own, size = {}, 0
-                last = a
-                where = own.setdefault((a, piece), [])
-                if not where:
+                if (a, key, s0) == last:  # a row that is there twice is one place
+                    continue
+                last = (a, key, s0)
+                # one and the same piece in several places repeats whole, and is sorted once
+                known = own.get((a, piece))
+                if known is None:
+                    own[a, piece] = [key, s0, False]
                     size += len(piece)
-                if (key, s0) not in where[-1:]:  # a row that is there twice is one place
-                    where.append((key, s0))
+                else:
+                    known[2] = True
+                    whole.append((key, s0, s0 + len(piece)))
+            if whole:
+                yield rows(whole)
         if own:
-            yield out()
+            yield rows(list(shard(own)))
 
     return sort
 
@@ -157,12 +210,18 @@ def removed_spans(docs: DataFrame, p: SubstringParams, ws: Workspace) -> tuple[D
     base = ws.save(docs.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(_surveyor(p), _BASE), "base")
     one = base.groupBy("key").agg(F.min("rid").alias("rid"))
     runs = base.join(one.select("rid"), "rid", "left_semi").select("rid", F.explode("runs").alias("r"))
-    twice = runs.groupBy(F.col("r.a").alias("a")).agg(F.sum("r.n").alias("c")).filter("c > 1").select("a")
+    seen = runs.groupBy(F.col("r.a").alias("a")).agg(F.sum("r.n").alias("c"), F.sum(F.col("r.s1") - F.col("r.s0") + p.length).alias("size")).filter("c > 1")
+    hot = ws.save(seen.filter(F.col("size") > p.shard_bytes).select("a"), "hot")
+    twice = seen.select("a")
     mine = runs.select("rid", "r", F.col("r.a").alias("a")).join(twice, "a", "left_semi").groupBy("rid").agg(F.collect_list("r").alias("runs"))
     wanted = mine.join(base.select("rid", F.col("doc_id").alias("id"), "key"), "rid")
     found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["id"])).filter(F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("key"))
     texts = ws.save(found.select("key", "text", "runs"), "texts")
-    pieces = texts.mapInArrow(_cutter(p), _PIECE).repartition("a").sortWithinPartitions("a", "key", "s0")
+    pieces = texts.mapInArrow(_cutter(p), _PIECE)
+    if not hot.isEmpty():
+        few = pieces.join(F.broadcast(hot), "a", "left_semi").select("a", "key", "s0", "piece")
+        pieces = pieces.join(F.broadcast(hot), "a", "left_anti").unionByName(parted(few, p, ws))
+    pieces = pieces.repartition("a").sortWithinPartitions("a", "key", "s0")
     spans = ws.save(pieces.mapInArrow(_sorter(p), "key string, b long, e long"), "spans")
     return base, texts, spans
 

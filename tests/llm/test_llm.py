@@ -273,6 +273,26 @@ def test_repeated_bytes_equal_brute_force(spark, small, odd):
     assert substring_dedup.repeated_bytes(odd.limit(0)).count() == 0
 
 
+def test_a_hot_anchor_is_parted(spark):
+    """A passage in many texts, each with other text around it."""
+    rng = random.Random(8)
+    draw = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = draw(150)
+    texts = [draw(200) + shared + draw(200) for _ in range(60)] + [draw(100) + shared[:90] + draw(50)] * 2
+    p = substring_dedup.SubstringParams(length=60, shard_bytes=1500)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in substring_dedup.repeated_bytes(df, p).collect())
+    assert got == sorted((i, *r) for i, r in enumerate(cut(texts, 60)))
+    pieces = []
+    for i, t in enumerate(texts[:60]):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        pieces += [(int(v.view(np.int64)), str(i), int(x), t[x : y + 60].encode()) for _, v, x, y, _ in zip(*anchors.anchor_runs(raw, np.array([0, len(raw)]), 60), strict=True)]
+    sizes = lambda rows: max(sum(map(len, {r[3] for r in rows if r[0] == a})) for a in {r[0] for r in rows})
+    assert sizes(pieces) > 1500
+    after = substring_dedup.parted(spark.createDataFrame(pieces, "a long, key string, s0 long, piece binary"), p, Workspace(spark, "parted")).collect()
+    assert sizes([(r.a, r.key, r.s0, bytes(r.piece)) for r in after]) <= 1500
+
+
 def test_equal_strings_share_anchors():
     rng = np.random.default_rng(3)
     raw = rng.integers(97, 100, 3000).astype(np.uint8)
