@@ -15,15 +15,19 @@ Positions are code points, ends exclusive.  Texts are scanned whole: numpy finds
 the documents that can hold a match, and only those are searched in full.
 
 Defined results: null and empty texts have no spans, an empty span string and
-the digest of the empty string; repeated rows give repeated results.
+the digest of the empty string; repeated rows give repeated results.  A text's spans
+do not depend on the texts beside it, and no text, however long or uniform, takes
+more than time in proportion to its length.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 from math import log2
 
 import numpy as np
@@ -94,15 +98,15 @@ def hot_windows(s: str, p: SecretParams) -> list[tuple[int, int]]:
     term = [0.0] + [c * log2(c) for c in range(1, w + 1)]
     out: list[tuple[int, int]] = []
     for i in range(n):
-        c = s[i]
-        k = counts.get(c, 0)
-        weight += term[k + 1] - term[k]
-        counts[c] = k + 1
-        if i >= w:
+        if i >= w:  # one out first, so that no count goes beyond the window
             c = s[i - w]
             k = counts[c]
             weight += term[k - 1] - term[k]
             counts[c] = k - 1
+        c = s[i]
+        k = counts.get(c, 0)
+        weight += term[k + 1] - term[k]
+        counts[c] = k + 1
         if i >= w - 1 and log2(w) - weight / w >= need:
             a = i - w + 1
             if out and out[-1][1] >= a:
@@ -115,13 +119,16 @@ def hot_windows(s: str, p: SecretParams) -> list[tuple[int, int]]:
 def entropy_spans(text: str, base: list[tuple[int, int, int]], p: SecretParams) -> list[tuple[int, int, int]]:
     """Those inside a base span are left out."""
     out = []
+    starts = [x for x, _, _ in base]
+    reach = list(accumulate((y for _, _, y in base), max))  # furthest end of the base spans so far
     for m in _CANDIDATE.finditer(text):
         s = m[0]
         if len(s) < p.least or allowed(s, p):
             continue
         for a, b in hot_windows(s, p):
             a, b = a + m.start(), b + m.start()
-            if not any(x <= a and b <= y for x, _, y in base):
+            k = bisect_right(starts, a)
+            if not k or reach[k - 1] < b:
                 out.append((a, 3, b))
     return out
 
@@ -141,12 +148,14 @@ def scan_text(text: str | None, p: SecretParams = SecretParams()) -> tuple:
 
 def _runs(flags: np.ndarray, n: int) -> np.ndarray:
     """Starts of windows of n set flags, by doubling."""
+    if len(flags) < n:
+        return np.zeros(0, np.int64)
     have = 1
-    while have < n and len(flags) > have:
+    while have < n:
         step = min(have, n - have)
         flags = flags[:-step] & flags[step:]
         have += step
-    return np.flatnonzero(flags) if have == n else np.zeros(0, np.int64)
+    return np.flatnonzero(flags)
 
 
 def suspects(raw: np.ndarray, bounds: np.ndarray, p: SecretParams) -> np.ndarray:
