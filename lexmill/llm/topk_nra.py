@@ -7,9 +7,16 @@ it has not been seen, its upper bound the entry now being read.  Reading stops
 when no vector outside the k best lower bounds can still reach the k-th; the
 scores of those that can are then resolved, ties going to the smaller id.
 
+All queries read a block's lists to the same depths, so what one has seen of a
+vector in a list is the greater (for a negative weight the lesser) of the entry and
+the frontier, and the bounds of many queries are one matrix product.  A query leaves
+a block as soon as its reading stops: before the first entry if the heads of the
+lists can't reach its k-th score so far, or when few candidates are left.
+
 Candidates are read in blocks as they lie, so no vector is shuffled; each task
 keeps the k best per query, and the queries are broadcast in segments of at most
-``segment`` rows (with more queries, more passes are made).
+``segment`` rows (with more queries, more passes are made).  Bounds are held in
+doubles with a margin for rounding; scores are integers.
 
 Defined results: vectors that are null or hold null or non-finite components take
 no part; vectors of another length than the query are no candidates; a query's
@@ -38,54 +45,84 @@ class TopKParams:
     every: int = 100  #: rows whose id it divides are queries
     segment: int = 20_000  #: queries in a broadcast
     block: int = 4096  #: candidates in a set of sorted lists
+    tile: int = 256  #: queries whose bounds are held together
 
 
 class SortedLists:
+    """A block of vectors as sorted lists, one for each dimension."""
+
     def __init__(self, ids: np.ndarray, x: np.ndarray) -> None:
         self.ids, self.x = ids, x
-        self.order = np.argsort(x, axis=0, kind="stable")  # ascending, by dimension
-        self.low, self.high = (x.min(axis=0), x.max(axis=0)) if len(x) else (None, None)
-
-    def search(self, query: int, q: np.ndarray, k: int, floor: int | None) -> list[tuple[int, int]]:
-        """(score, id) of the best k and of what ties with the k-th, at least; ``floor`` is a score that k others have."""
-        n, dims = self.x.shape
-        use = np.flatnonzero(q)
-        least = np.where(q > 0, q * self.low, q * self.high)
-        lower = np.full(n, int(least.sum()), dtype=np.int64)
-        seen = np.zeros((n, dims), dtype=bool)
-        others = self.ids != query
-        if not others.any():
-            return []
-        live, depth, step = np.flatnonzero(others), 0, max(16, n // 8)
-        while depth < n and len(use):
-            stop = min(n, depth + step)
-            frontier = np.zeros(dims, dtype=np.int64)
-            for d in use:
-                at = self.order[depth:stop, d] if q[d] < 0 else self.order[n - stop : n - depth, d]
-                lower[at] += q[d] * self.x[at, d] - least[d]
-                seen[at, d] = True
-                frontier[d] = q[d] * self.x[at[-1] if q[d] < 0 else at[0], d]
-            depth = stop
-            # what a list still holds is at most its frontier
-            slack = frontier - least
-            upper = lower[live] + slack.sum() - (seen[live] @ slack.astype(np.float64)).astype(np.int64)
-            bound = floor
-            if len(live) >= k:
-                kth = int(np.partition(lower[live], len(live) - k)[len(live) - k])
-                bound = kth if bound is None else max(bound, kth)
-            if bound is not None:
-                live = live[upper >= bound]
-            if len(live) <= 2 * k:
-                break
-        scores = self.x[live] @ q
-        if len(live) > k:
-            kth = np.partition(scores, len(live) - k)[len(live) - k]
-            live, scores = live[scores >= kth], scores[scores >= kth]
-        return list(zip(scores.tolist(), self.ids[live].tolist(), strict=True))
-
-
-def _best(rows: list[tuple[int, int]], k: int) -> list[tuple[int, int]]:
-    return sorted(rows, key=lambda r: (-r[0], r[1]))[:k]
+        self.values = np.sort(x, axis=0).astype(float)  # ascending, by dimension
+        self.exact = float(np.abs(x).max(initial=0))
+
+    def sides(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Upper and lower bounds of all entries once ``depth`` of each list is read: dimensions read from above, and then from below."""
+        n = len(self.ids)
+        high, low = self.values[n - depth], self.values[depth - 1]
+        above, below = self.x >= high, self.x <= low
+        upper = np.concatenate([np.maximum(self.x, high), np.minimum(self.x, low)], axis=1)
+        lower = np.concatenate([np.where(above, self.x, self.values[0]), np.where(below, self.x, self.values[-1])], axis=1)
+        return upper, lower
+
+    def heads(self) -> np.ndarray:
+        return np.concatenate([self.values[-1], self.values[0]])
+
+    def scores(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Inner products as integers, by doubles where those hold them exactly."""
+        x = self.x[rows]
+        if self.exact * float(np.abs(q).max(initial=0)) * max(1, len(q)) < 2.0**53:
+            return (x.astype(float) @ q.astype(float)).astype(np.int64)
+        return x @ q
+
+    def search(self, names: np.ndarray, q: np.ndarray, k: int, floor: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """(scores, ids) of the best k and of what ties with the k-th, at least, by row of ``q``; ``floor`` has a score that k others have, or -inf."""
+        n = len(self.ids)
+        # positive weights meet the lists from above, negative ones from below
+        w = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], axis=1).astype(float)
+        margin = 1e-12 * self.exact * np.abs(w).sum(axis=1)
+        active = np.flatnonzero(w @ self.heads() + margin >= floor)
+        out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        depth = max(1, n // 8)
+        while len(active):
+            upper, lower = self.sides(depth)
+            top = w[active] @ upper.T + margin[active, None]
+            own = names[active, None] == self.ids[None, :]
+            top[own] = -np.inf
+            bound = floor[active]
+            if n - 1 >= k:
+                sure = w[active] @ lower.T - margin[active, None]
+                sure[own] = -np.inf
+                bound = np.maximum(bound, np.partition(sure, n - k, axis=1)[:, n - k])
+            live = top >= bound[:, None]
+            live &= ~own
+            few = live.sum(axis=1) <= max(4 * k, n // 16)
+            for r in np.flatnonzero(few | (depth >= n)):
+                rows = np.flatnonzero(live[r])
+                scores = self.scores(rows, q[active[r]])
+                if len(rows) > k:
+                    kth = np.partition(scores, len(rows) - k)[len(rows) - k]
+                    rows, scores = rows[scores >= kth], scores[scores >= kth]
+                out[int(active[r])] = (scores, self.ids[rows])
+            active = active[~few] if depth < n else active[:0]
+            depth = min(n, 2 * depth)
+        return out
+
+
+class Best:
+    """The k best (score, id) so far of each query."""
+
+    def __init__(self, queries: int, k: int) -> None:
+        self.k = k
+        self.rows: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * queries
+        self.floor = np.full(queries, -np.inf)
+
+    def add(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        s, i = np.concatenate([self.rows[query][0], scores]), np.concatenate([self.rows[query][1], ids])
+        order = np.lexsort((i, -s))[: self.k]
+        self.rows[query] = (s[order], i[order])
+        if len(order) == self.k:
+            self.floor[query] = s[order[-1]]
 
 
 def _vectors(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -102,20 +139,24 @@ def _vectors(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _searcher(shared, p: TopKParams):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = shared.value
-        best: dict[int, list[tuple[int, int]]] = {}
+        queries = [(np.array([k for k, v in shared.value if len(v) == n], dtype=np.int64), np.array([v for _, v in shared.value if len(v) == n], dtype=np.int64)) for n in sorted({len(v) for _, v in shared.value})]
+        best = [Best(len(names), p.k) for names, _ in queries]
         for batch in batches:
             for ids, x in _vectors(batch):
-                for a in range(0, len(ids), p.block):
-                    lists = SortedLists(ids[a : a + p.block], x[a : a + p.block])
-                    for query, q in queries:
-                        if len(q) == x.shape[1]:
-                            have = best.get(query, [])
-                            floor = have[-1][0] if len(have) == p.k else None
-                            best[query] = _best(have + lists.search(query, q, p.k, floor), p.k)
-        rows = [(query, i, s) for query, found in best.items() for s, i in found]
-        cols = list(zip(*rows, strict=True)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
+                for (names, q), have in zip(queries, best, strict=True):
+                    if q.shape[1] != x.shape[1]:
+                        continue
+                    for a in range(0, len(ids), p.block):
+                        lists = SortedLists(ids[a : a + p.block], x[a : a + p.block])
+                        for b in range(0, len(names), p.tile):
+                            for r, found in lists.search(names[b : b + p.tile], q[b : b + p.tile], p.k, have.floor[b : b + p.tile]).items():
+                                have.add(b + r, *found)
+        cols = [[], [], []]
+        for (names, _), have in zip(queries, best, strict=True):
+            for name, (scores, ids) in zip(names, have.rows, strict=True):
+                for col, part in zip(cols, (np.full(len(ids), name), ids, scores), strict=True):
+                    col.append(part)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *c]), pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
 
     return search
 
