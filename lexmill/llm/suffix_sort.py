@@ -179,10 +179,18 @@ def suffix_order(t: np.ndarray, depth: int, limit: int = LIMIT) -> np.ndarray:
     return out
 
 
-def repeated_starts(pieces: list[bytes], length: int, limit: int = LIMIT) -> list[np.ndarray]:
-    """For each piece, which of its strings of ``length`` bytes also start anywhere else in the pieces."""
+def repeated_starts(pieces: list[bytes], length: int, limit: int = LIMIT, starts: list[int] | None = None, passage: int | None = None, owners: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each piece, which of its strings of ``length`` bytes also start anywhere else in the pieces, and which of its first ``starts`` strings of ``passage`` bytes also start in a piece of another owner.
+
+    A piece of owner -1 stands in several texts, so its strings are another owner's to all.
+    """
+    passage = passage or length
     sizes = np.array([len(x) for x in pieces], dtype=np.int64)
+    most = np.maximum(sizes - passage + 1, 0)
+    first = most if starts is None else np.minimum(np.array(starts, dtype=np.int64), most)
+    owner = np.arange(len(pieces)) if owners is None else np.array(owners, dtype=np.int64)
     ends = np.cumsum(sizes + 1)
+    heads = ends - 1 - sizes
     raw = np.frombuffer(b"\0".join(pieces) + b"\0\0", dtype=np.uint8)
     n = len(raw)
     t = array(n, np.uint16, limit)
@@ -191,21 +199,37 @@ def repeated_starts(pieces: list[bytes], length: int, limit: int = LIMIT) -> lis
     t[ends - 1] = 1
     t[n - 1] = 0
     starting = np.zeros(n, dtype=bool)
-    for a, k in zip(ends - 1 - sizes, sizes, strict=True):
-        starting[a : a + max(0, k - length + 1)] = True
+    long = np.zeros(n, dtype=bool)
+    for a, k, m in zip(heads, sizes, first, strict=True):
+        starting[a : a + m] = True
+        long[a : a + max(0, k - length + 1)] = True
+    long &= starting
     order = suffix_order(t, length, limit)
     order = order[starting[order]]
-    out = np.zeros(n, dtype=bool)
-    if len(order) > 1:
+    again, shared = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+    if len(order):
         power, inverse = powers(n + 1)
         total = np.zeros(n + 1, dtype=_U)
         np.cumsum((raw.astype(_U) + _U(1)) * power[:n], out=total[1:])
-        h = mix((total[order + length] - total[order]) * inverse[order])
-        same = np.flatnonzero(h[1:] == h[:-1])
-        same = same[_equal(raw, order[same], order[same + 1], length)]
-        out[order[same]] = True
-        out[order[same + 1]] = True
-    return [out[a : a + max(0, k - length + 1)] for a, k in zip(ends - 1 - sizes, sizes, strict=True)]
+
+        def alike(rows: np.ndarray, size: int) -> np.ndarray:
+            """Whether each position's string is that of the position before it."""
+            h = (total[rows + size] - total[rows]) * inverse[rows]
+            near = np.flatnonzero(h[1:] == h[:-1])
+            out = np.zeros(len(rows), dtype=bool)
+            out[near[_equal(raw, rows[near], rows[near + 1], size)] + 1] = True
+            return out
+
+        rows = order[long[order]]
+        if len(rows) > 1:
+            same = alike(rows, length)
+            again[rows[same]] = True
+            again[rows[np.flatnonzero(same) - 1]] = True
+        group = np.flatnonzero(~alike(order, passage))
+        own = owner[np.searchsorted(ends, order, "right")]
+        low, high = np.minimum.reduceat(own, group), np.maximum.reduceat(own, group)
+        shared[order] = np.repeat((low != high) | (low < 0), np.diff(np.append(group, len(order))))
+    return [(again[a : a + max(0, k - length + 1)], shared[a : a + m]) for a, k, m in zip(heads, sizes, first, strict=True)]
 
 
 def _equal(raw: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:

@@ -247,11 +247,21 @@ def test_suffix_sort_equals_brute_force():
         pieces = [bytes(rng.choice(own) for _ in range(rng.randint(1, 30))) for _ in range(rng.randint(1, 8))]
         c = Counter(x[i : i + size] for x in pieces for i in range(len(x) - size + 1))
         want = [[c[x[i : i + size]] > 1 for i in range(max(0, len(x) - size + 1))] for x in pieces]
-        assert [x.tolist() for x in suffix_sort.repeated_starts(pieces, size, limit=rng.choice((64, 1 << 20)))] == want
+        limit = rng.choice((64, 1 << 20))
+        assert [x.tolist() for x, _ in suffix_sort.repeated_starts(pieces, size, limit=limit)] == want
+        short, owners, starts = rng.randint(1, size), [rng.randrange(-1, 3) for _ in pieces], [rng.randint(0, len(x)) for x in pieces]
+        at = [(x[i : i + short], o) for x, o, m in zip(pieces, owners, starts, strict=True) for i in range(min(m, len(x) - short + 1))]
+        of = {g: {o for h, o in at if h == g} for g, _ in at}
+        common = [[len(of[x[i : i + short]]) > 1 or -1 in of[x[i : i + short]] for i in range(max(0, min(m, len(x) - short + 1)))] for x, m in zip(pieces, starts, strict=True)]
+        assert [x.tolist() for _, x in suffix_sort.repeated_starts(pieces, size, limit, starts, short, owners)] == common
 
 
-def cut(texts, length):
+def cut(texts, length, passage=256, words=50):
     raw = [(t or "").encode() for t in texts]
+    rows_of = {}
+    for k, x in enumerate(raw):
+        for g in {x[i : i + passage] for i in range(len(x) - passage + 1)}:
+            rows_of.setdefault(g, set()).add(k)
     seen = Counter(x[i : i + length] for x in raw for i in range(len(x) - length + 1))
     out = []
     for x in raw:
@@ -260,16 +270,23 @@ def cut(texts, length):
             if seen[x[i : i + length]] > 1:
                 gone[i : i + length] = True
         runs = int((np.diff(np.concatenate([[0], gone.astype(int), [0]])) == 1).sum())
-        out.append((len(x), int(gone.sum()), runs, hashlib.sha256(np.frombuffer(x, np.uint8)[~gone].tobytes()).hexdigest()))
+        common = np.zeros(len(x), dtype=bool)
+        for i in range(len(x) - passage + 1):
+            if len(rows_of[x[i : i + passage]]) > 1:
+                common[i : i + passage] = True
+        edge = np.diff(np.concatenate([[0], common.astype(int), [0]]))
+        long = [(a, b) for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True) if len(x[a:b].split()) >= words]
+        out.append((len(x), int(gone.sum()), runs, hashlib.sha256(np.frombuffer(x, np.uint8)[~gone].tobytes()).hexdigest(), int(sum(b - a for a, b in long)), len(long)))
     return out
 
 
 def test_repeated_bytes_equal_brute_force(spark, small, odd):
-    for rows, length in ((small, 400), (ODD + [(8, "ab" * 90 + "c"), (9, "zz" + "ab" * 90), (10, "é" * 90)], 60)):
-        p = substring_dedup.SubstringParams(length=length, shard_bytes=500, sort_bytes=1 << 12)
+    more = [(8, "ab" * 90 + "c"), (9, "zz" + "ab" * 90), (10, "é" * 90), (11, "q r s t u v w x y z " * 6), (12, "0 r s t u v w x y z q r s t u v w x y z q r s t u 1"), (13, "w x y z q r s t u v w x y z q r s t u v w x")]
+    for rows, length, passage, count in ((small, 400, 256, 50), (ODD + more, 60, 40, 12), (ODD + more, 60, 60, 1)):
+        p = substring_dedup.SubstringParams(length=length, passage=passage, passage_words=count, shard_bytes=500, sort_bytes=1 << 12)
         df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("runs", F.lit(1))
         got = [tuple(r) for r in substring_dedup.repeated_bytes(df, p).collect()]
-        want = [(i, *r) for (i, _), r in zip(rows, cut([t for _, t in rows], length), strict=True)]
+        want = [(i, *r) for (i, _), r in zip(rows, cut([t for _, t in rows], length, passage, count), strict=True)]
         assert sorted(got, key=str) == sorted(want, key=str)
     assert substring_dedup.repeated_bytes(odd.limit(0)).count() == 0
 
@@ -280,18 +297,20 @@ def test_a_hot_anchor_is_parted(spark):
     draw = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
     shared = draw(150)
     texts = [draw(200) + shared + draw(200) for _ in range(60)] + [draw(100) + shared[:90] + draw(50)] * 2
-    p = substring_dedup.SubstringParams(length=60, shard_bytes=1500)
+    p = substring_dedup.SubstringParams(length=60, passage=40, passage_words=5, shard_bytes=1500)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = sorted(tuple(r) for r in substring_dedup.repeated_bytes(df, p).collect())
-    assert got == sorted((i, *r) for i, r in enumerate(cut(texts, 60)))
+    assert got == sorted((i, *r) for i, r in enumerate(cut(texts, 60, 40, 5)))
     pieces = []
     for i, t in enumerate(texts[:60]):
         raw = np.frombuffer(t.encode(), np.uint8)
-        pieces += [(int(v.view(np.int64)), str(i), int(x), t[x : y + 60].encode()) for _, v, x, y, _ in zip(*anchors.anchor_runs(raw, np.array([0, len(raw)]), 60), strict=True)]
-    sizes = lambda rows: max(sum(map(len, {r[3] for r in rows if r[0] == a})) for a in {r[0] for r in rows})
+        pieces += [(int(v.view(np.int64)), str(i), int(x), int(y - x + 1), t[x : y + 60].encode()) for _, v, x, y, _ in zip(*anchors.anchor_runs(raw, np.array([0, len(raw)]), 40), strict=True)]
+    sizes = lambda rows: max(sum(map(len, {r[4] for r in rows if r[0] == a})) for a in {r[0] for r in rows})
     assert sizes(pieces) > 1500
-    after = substring_dedup.parted(spark.createDataFrame(pieces, "a long, key string, s0 long, piece binary"), p, Workspace(spark, "parted")).collect()
-    assert sizes([(r.a, r.key, r.s0, bytes(r.piece)) for r in after]) <= 1500
+    after, more = substring_dedup.parted(spark.createDataFrame(pieces, substring_dedup._PIECE), p, Workspace(spark, "parted"))
+    after = after.collect()
+    assert more.count() > 0
+    assert sizes([(r.a, r.key, r.s0, r.n, bytes(r.piece)) for r in after]) <= 1500
 
 
 def test_equal_strings_share_anchors():
