@@ -5,6 +5,11 @@ Counts cover every training text.  Words are told apart by their 64-bit hash.
 * Vocabulary: every word that occurs ``least`` times has a class of its own, so what
   is learned grows with the corpus; rarer and unseen words have the class of one of
   ``suffix_units`` spelling units (a hash of the last three bytes).
+* Codes: texts are taken apart once more and written as numbers, a word of the
+  vocabulary by its place in it and another one by its spelling unit; all that follows
+  reads those.  The vocabulary is broadcast for this in segments of at most
+  ``segment`` words (20 bytes each), commonest words first; with more words, more
+  passes are made over the codes.
 * Exchange: the ``own_units`` commonest words and the spelling units come first.
   Starting from classes dealt by frequency, each in turn moves to the class that
   raises the likelihood of the class bigrams most, until nothing moves or ``sweeps``
@@ -14,13 +19,14 @@ Counts cover every training text.  Words are told apart by their 64-bit hash.
   (word and class, by side), and each word moves to its best class against the
   class bigrams as they stand.  Words of a round move together, so a round that
   doesn't raise the likelihood is taken back and is the last.  The driver gets the
-  vocabulary's hashes and classes, and class bigrams.  log10 p(w | v) = log10 p(class w | class v) +
+  vocabulary's hashes and classes, and class bigrams; the executors get one byte for
+  each of its words.  log10 p(w | v) = log10 p(class w | class v) +
   log10 p(w | class w); transitions are smoothed towards the class shares, and
   emissions by one count for each word of the class and one for unseen words.
 
-Scoring needs each word's count.  Words above a count threshold, ``head_words`` of
-them at most, are broadcast; the others, none of which is frequent, are joined to
-the count table by hash.  The unigram base is carried along by the same join.
+Scoring needs each word's count.  Those of the vocabulary go with its codes; the other
+words, none of which is frequent, are joined to the count table by hash.  The unigram
+base is carried along.
 
 Defined results: a null or empty text is one end token; a null doc_id counts as
 training; repeated rows count and are scored one by one; without training texts
@@ -37,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textbytes import Words, as_long, mix, words_of
+from .textbytes import Words, as_long, chunks, mix, words_of
 from .workspace import Workspace
 
 _FLUSH = 1 << 20
@@ -51,7 +57,7 @@ class LmParams:
     suffix_units: int = 256
     classes: int = 64
     sweeps: int = 8
-    head_words: int = 262_144
+    segment: int = 4_000_000  #: words of the vocabulary in a broadcast
     beta: float = 1.0  #: weight of the class shares in a transition
     folds: int = 7
     held: int = 2
@@ -104,73 +110,126 @@ def _counter(p: LmParams):
     return count
 
 
-def unit_ids(w: Words, own: np.ndarray, p: LmParams) -> np.ndarray:
-    """``own`` has the sorted hashes of the words that are units of their own."""
-    unit = suffix_unit(w, p) + p.own_units
-    if len(own):
-        at = np.minimum(np.searchsorted(own, w.hash), len(own) - 1)
-        unit = np.where(own[at] == w.hash, at, unit)
-    return unit
+_CODED = "rid long, doc_id long, train boolean, known long, logs double, codes binary, open array<long>"
 
 
-def class_ids(w: Words, own: np.ndarray, cls: np.ndarray, p: LmParams) -> tuple[np.ndarray, np.ndarray]:
-    """Place in ``own`` (-1: none) and class of each word; ``cls`` has the classes of ``own`` and then of the spelling units."""
-    place = np.full(len(w.hash), -1, dtype=np.int64)
-    if len(own):
-        at = np.minimum(np.searchsorted(own, w.hash), len(own) - 1)
-        place = np.where(own[at] == w.hash, at, -1)
-    return place, cls[np.where(place >= 0, place, suffix_unit(w, p) + len(own))].astype(np.int64)
+def _resolved(codes: np.ndarray, doc: np.ndarray, h: np.ndarray, docs: int, segment) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the tokens, which of ``h`` (those of the negative codes) are still open, and by document the number and the summed logs of the others."""
+    own, logs, places = segment
+    at = np.flatnonzero(codes < 0)
+    if not len(own) or not len(at):
+        return codes, np.ones(len(at), bool), np.zeros(docs, np.int64), np.zeros(docs)
+    place = np.minimum(np.searchsorted(own, h), len(own) - 1)
+    hit = own[place] == h
+    codes = codes.copy()
+    codes[at[hit]] = places[place[hit]]
+    of = doc[at[hit]]
+    return codes, ~hit, np.bincount(of, minlength=docs), np.bincount(of, logs[place[hit]], docs)
 
 
-def steps(w: Words, unit: np.ndarray, edge: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _coder(shared, p: LmParams):
+    """Texts to codes: places in the first segment of the vocabulary, or -1 - the spelling unit."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment = shared.value
+        for batch in batches:
+            for w in words_of(batch.column("text")):
+                codes, left, known, logs = _resolved(-1 - suffix_unit(w, p), w.doc, w.hash, w.docs, segment)
+                yield _coded(*(batch.column(k).slice(w.first, w.docs) for k in ("rid", "doc_id", "train")), known, logs, codes, w.per_doc(), w.hash[left], w.doc[left])
+
+    return code
+
+
+def _coded(rid, doc_id, train, known: np.ndarray, logs: np.ndarray, codes: np.ndarray, bounds: np.ndarray, h: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+    data = codes.astype("<i4").tobytes()
+    blobs = pa.array([data[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary())
+    open_ = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(len(bounds))).astype(np.int32)), pa.array(as_long(h)))
+    return pa.RecordBatch.from_arrays([rid, doc_id, train, pa.array(known, pa.int64()), pa.array(logs, pa.float64()), blobs, open_], names=["rid", "doc_id", "train", "known", "logs", "codes", "open"])
+
+
+def coded_texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, end row, offsets into the codes, document and code of each token), about a megabyte of codes at a time."""
+    column = batch.column("codes")
+    column = column.cast(pa.large_binary()) if pa.types.is_binary(column.type) else column
+    _, off, data = column.buffers()
+    offsets = np.frombuffer(off, dtype=np.int64)[column.offset : column.offset + len(column) + 1] if off else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    for a, b in chunks(offsets):
+        part = np.frombuffer(raw[int(offsets[a]) : int(offsets[b])].tobytes(), dtype="<i4").astype(np.int64)
+        bounds = (offsets[a : b + 1] - offsets[a]) // 4
+        yield a, b, bounds, np.repeat(np.arange(b - a), np.diff(bounds)), part
+
+
+def _recoder(shared):
+    """The same for the words of a further segment."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment = shared.value
+        for batch in batches:
+            lists = batch.column("open")
+            off, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            for a, b, bounds, doc, codes in coded_texts(batch):
+                h = flat[off[a] : off[b]]
+                of = np.repeat(np.arange(b - a), np.diff(off[a : b + 1]))
+                codes, left, known, logs = _resolved(codes, doc, h, b - a, segment)
+                known = known + batch.column("known").to_numpy()[a:b]
+                logs = logs + batch.column("logs").to_numpy()[a:b]
+                yield _coded(*(batch.column(k).slice(a, b - a) for k in ("rid", "doc_id", "train")), known, logs, codes, bounds, h[left], of[left])
+
+    return code
+
+
+def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rid, h, tf) of the words that are open, each once for its text."""
+    for batch in batches:
+        lists = batch.column("open")
+        off, h = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+        h, of = h[off[0] : off[-1]], np.repeat(np.arange(len(lists)), np.diff(off))
+        order = np.lexsort((h, of))
+        h, of = h[order], of[order]
+        first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (of[1:] != of[:-1])])) if len(h) else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("rid").take(pa.array(of[first])), pa.array(h[first]), pa.array(np.diff(np.append(first, len(h))).astype(np.int64))], names=["rid", "h", "tf"])
+
+
+def steps(bounds: np.ndarray, doc: np.ndarray, unit: np.ndarray, edge: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, unit before, unit) of all tokens, ends included; ``edge`` is the start before and the end after."""
-    bounds = w.per_doc()
+    docs = len(bounds) - 1
     # one place more in each document, for its end
-    place = np.arange(len(unit)) + w.doc
-    after = np.full(len(unit) + w.docs, edge, dtype=np.int64)
-    after[place] = unit
+    after = np.full(len(unit) + docs, edge, dtype=np.int64)
+    after[np.arange(len(unit)) + doc] = unit
     before = np.empty_like(after)
     before[1:] = after[:-1]
-    before[bounds[:-1] + np.arange(w.docs)] = edge
-    return np.repeat(np.arange(w.docs), np.diff(bounds) + 1), before, after
+    before[bounds[:-1] + np.arange(docs)] = edge
+    return np.repeat(np.arange(docs), np.diff(bounds) + 1), before, after
+
 
+def _pairer(shared, k: int):
+    """Bigrams of ``k`` kinds and the edge; the broadcast has the kind of each code, first those from -1 downwards and then those from 0."""
 
-def _pairer(shared, p: LmParams):
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side = p.units + 1
-        total = np.zeros(side * side, dtype=np.int64)
+        kind, units = shared.value
+        total = np.zeros((k + 1) ** 2, dtype=np.int64)
         for batch in batches:
-            for w in words_of(batch.column("text")):
-                _, before, after = steps(w, unit_ids(w, shared.value, p), p.units)
-                total += np.bincount(before * side + after, minlength=side * side)
+            for _, _, bounds, doc, codes in coded_texts(batch):
+                _, before, after = steps(bounds, doc, kind[_at(codes, units)], k)
+                cell, c = np.unique(before * (k + 1) + after, return_counts=True)
+                total[cell] += c
         cell = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "c"])
 
     return pair
 
 
-def _class_pairer(shared, p: LmParams):
-    """Bigrams of classes."""
+def _at(codes: np.ndarray, units: int) -> np.ndarray:
+    """Place of a code's kind: the spelling units stand before the words."""
+    return np.where(codes < 0, -1 - codes, codes + units)
 
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, cls, _ = shared.value
-        side = p.classes + 1
-        total = np.zeros(side * side, dtype=np.int64)
-        for batch in batches:
-            for w in words_of(batch.column("text")):
-                _, before, after = steps(w, class_ids(w, own, cls, p)[1], p.classes)
-                total += np.bincount(before * side + after, minlength=side * side)
-        cell = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "c"])
 
-    return pair
-
-
-def _contexts(shared, p: LmParams):
+def _contexts(shared, core: int, p: LmParams):
     """Sparse counts of the words in batches: (word, place in its row, c); classes after it, classes before it, and itself after itself."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, cls, core = shared.value
+        cls, units = shared.value
         side = p.classes + 1
         width = 2 * side + 1
         held: list[np.ndarray] = []
@@ -185,23 +244,22 @@ def _contexts(shared, p: LmParams):
             key, c = key[first], np.add.reduceat(c, first)
             held.clear()
             counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(key // width), pa.array(key % width), pa.array(c)], names=["word", "slot", "c"])
+            return pa.RecordBatch.from_arrays([pa.array(key // width), pa.array((key % width).astype(np.int16)), pa.array(c.astype(np.int32))], names=["word", "slot", "c"])
 
         for batch in batches:
-            for w in words_of(batch.column("text")):
-                place, of = class_ids(w, own, cls, p)
-                moving = np.where((place >= 0) & ~core[place], place, -1) if len(own) else place
-                _, before, after = steps(w, of, p.classes)
-                _, left, right = steps(w, moving, -1)
+            for _, _, bounds, doc, codes in coded_texts(batch):
+                # the commonest words come first in the vocabulary, and have moved before
+                _, before, after = steps(bounds, doc, cls[_at(codes, units)], p.classes)
+                _, left, right = steps(bounds, doc, np.where(codes >= core, codes, -1), -1)
                 a, b = left >= 0, right >= 0
                 twice = a & (left == right)
                 key = np.concatenate([left[a] * width + after[a], right[b] * width + side + before[b], left[twice] * width + 2 * side])
                 if len(key):
                     key, c = np.unique(key, return_counts=True)
                     held.append(key)
-                    counts.append(c.astype(np.int64))
+                    counts.append(c)
                     rows += len(key)
-                if rows >= _FLUSH:
+                if rows >= 2 * _FLUSH:
                     yield out()
                     rows = 0
         if held:
@@ -261,10 +319,14 @@ def _mover(shared):
     """Rows come sorted by word; a word's rows are never parted."""
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cls, g = shared.value
+        cls, units, g = shared.value
+        cls = cls[units:]
         rest = [np.zeros(0, np.int64)] * 3
 
         def out(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            # rows of one cell from several tasks
+            first = np.flatnonzero(np.concatenate([[True], (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])]))
+            cols = [cols[0][first], cols[1][first], np.add.reduceat(cols[2], first)]
             # a few thousand words at a time: the working set is dense
             starts = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))[::2048]
             for a, b in zip(starts, np.append(starts[1:], len(cols[0])), strict=True):
@@ -272,7 +334,7 @@ def _mover(shared):
                 yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(to.astype(np.int64))], names=["word", "cls"])
 
         for batch in batches:
-            cols = [np.concatenate([x, batch.column(k).to_numpy()]) for x, k in zip(rest, ("word", "slot", "c"), strict=True)]
+            cols = [np.concatenate([x, batch.column(k).to_numpy().astype(np.int64)]) for x, k in zip(rest, ("word", "slot", "c"), strict=True)]
             if not len(cols[0]):
                 continue
             whole = int(np.searchsorted(cols[0], cols[0][-1]))
@@ -343,12 +405,11 @@ def exchange(n: np.ndarray, p: LmParams) -> np.ndarray:
 
 @dataclass
 class Model:
-    own: np.ndarray  #: sorted hashes of the vocabulary
-    cls: np.ndarray  #: its classes, then those of the spelling units
+    own: np.ndarray  #: hashes of the vocabulary, sorted within each segment
+    cls: np.ndarray  #: its classes
+    unit_cls: np.ndarray  #: classes of the spelling units
     move: np.ndarray  #: log10 of transitions
     room: np.ndarray  #: log10 of the emissions' denominators, by class; 0 for the end
-    head: np.ndarray  #: sorted hashes
-    head_count: np.ndarray
     ends: int  #: training texts
     tokens: int
     kinds: int
@@ -360,107 +421,118 @@ class Model:
 
 def _scorer(shared, p: LmParams):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = shared.value
-        log_head, log_end = np.log10(m.head_count + 1.0), float(np.log10(m.ends + 1.0))
+        kind, units, move, room, ends, base_room = shared.value
+        log_end = float(np.log10(ends + 1.0))
         for batch in batches:
-            for w in words_of(batch.column("text")):
-                doc, before, cls = steps(w, class_ids(w, m.own, m.cls, p)[1], p.classes)
-                moves = np.bincount(doc, m.move[before, cls] - m.room[cls], w.docs)
-                if len(m.head):
-                    at = np.minimum(np.searchsorted(m.head, w.hash), len(m.head) - 1)
-                    known = m.head[at] == w.hash
-                else:
-                    at, known = np.zeros(len(w.hash), np.int64), np.zeros(len(w.hash), bool)
-                counts = np.bincount(w.doc[known], log_head[at[known]] if len(m.head) else None, w.docs) + log_end
-                n = np.diff(w.per_doc()) + 1
-                n_known = np.bincount(w.doc[known], minlength=w.docs) + (m.ends > 0)
-                rest = np.flatnonzero(~known)
-                order = np.lexsort((w.hash[rest], w.doc[rest]))
-                d, h = w.doc[rest][order], w.hash[rest][order]
-                new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])])) if len(d) else np.zeros(0, np.int64)
-                off = pa.array(np.searchsorted(d[new], np.arange(w.docs + 1)).astype(np.int32))
+            known, logs = batch.column("known").to_numpy(), batch.column("logs").to_numpy()
+            for a, b, bounds, of, codes in coded_texts(batch):
+                doc, before, cls = steps(bounds, of, kind[_at(codes, units)], p.classes)
+                n = np.diff(bounds) + 1
+                moves = np.bincount(doc, move[before, cls] - room[cls], b - a)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("rid").slice(w.first, w.docs), batch.column("doc_id").slice(w.first, w.docs), pa.array(n), pa.array(n_known), pa.array(counts - n * m.base_room),
+                    *(batch.column(k).slice(a, b - a) for k in ("rid", "doc_id")), pa.array(n), pa.array(known[a:b] + (ends > 0)), pa.array(logs[a:b] + log_end - n * base_room),
                     # the end's emission is certain, so its count has no part in the model's score
-                    pa.array(moves + counts - log_end), pa.ListArray.from_arrays(off, pa.array(as_long(h[new]))), pa.ListArray.from_arrays(off, pa.array(np.diff(np.append(new, len(d))).astype(np.int64))),
-                ], names=["rid", "doc_id", "n", "known", "base", "score", "hs", "tfs"])
+                    pa.array(moves + logs[a:b]),
+                ], names=["rid", "doc_id", "n", "known", "base", "score"])
 
     return score
 
 
-def learn(docs: DataFrame, ws: Workspace, p: LmParams = LmParams()) -> tuple[Model, DataFrame]:
-    """The model, and the table (h, c) of the words that are not in its head."""
+@dataclass
+class Vocabulary:
+    hash: np.ndarray
+    unit: np.ndarray
+    count: np.ndarray
+    segments: list[tuple[int, int]]  #: of places; hashes are sorted within each
+    core: int  #: places of the words that are exchanged one by one
+
+
+def vocabulary(counts: DataFrame, p: LmParams) -> Vocabulary:
+    """The ``own_units`` commonest words and all that occur ``least`` times; the former come first, and all in segments by count."""
+    cols = ["h", "unit", "c"]
+    common = counts.orderBy(F.desc("c"), "h").limit(p.own_units).select(*cols)
+    rows = counts.filter(F.col("c") >= p.least).select(*cols).unionAll(common).toPandas().drop_duplicates("h").sort_values(["c", "h"], ascending=[False, True])
+    h, unit, c = rows["h"].to_numpy(np.int64).view(np.uint64), rows["unit"].to_numpy(np.int64), rows["c"].to_numpy(np.int64)
+    core = min(p.own_units, len(h))
+    edges = [0, *([core] if 0 < core < len(h) else []), *range(core + p.segment, len(h), p.segment), len(h)]
+    segments = [(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True) if b > a]
+    order = np.concatenate([np.zeros(0, np.int64), *(a + np.argsort(h[a:b], kind="stable") for a, b in segments)]).astype(np.int64)
+    return Vocabulary(h[order], unit[order], c[order], segments, core)
+
+
+def coded(docs: DataFrame, v: Vocabulary, ws: Workspace, p: LmParams) -> DataFrame:
+    """The table _CODED of ``docs`` (doc_id, text)."""
+    spark = docs.sparkSession
+    # the first segment is the core, which is small, and goes with the next one
+    parts = [(v.segments[0][0], v.segments[1][1]), *v.segments[2:]] if len(v.segments) > 1 else v.segments or [(0, 0)]
+    now = None
+    for k, (a, b) in enumerate(parts):
+        order = np.argsort(v.hash[a:b], kind="stable")
+        place = a + order
+        shared = spark.sparkContext.broadcast((v.hash[place], np.log10(v.count[place] + 1.0), place))
+        if now is None:
+            rows = docs.withColumns({"rid": F.monotonically_increasing_id(), "train": ~held_out(F.col("doc_id"), p)}).select("rid", "doc_id", "train", "text")
+            made = rows.mapInArrow(_coder(shared, p), _CODED)
+        else:
+            made = now.mapInArrow(_recoder(shared), _CODED)
+        now = ws.save(made, f"coded-{k}", "zstd")
+        if k:
+            ws.drop(f"coded-{k - 1}")
+    return now
+
+
+def learn(docs: DataFrame, ws: Workspace, p: LmParams = LmParams()) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, the coded texts, and the table (h, c) of the words beyond its vocabulary."""
     spark = docs.sparkSession
+    cast = spark.sparkContext.broadcast
     training = docs.filter(~held_out(F.col("doc_id"), p)).select("text")
     counted = training.mapInArrow(_counter(p), "h long, unit long, c long").groupBy("h").agg(F.min("unit").alias("unit"), F.sum("c").alias("c"))
     counts = ws.save(counted, "counts")
     ends = training.count()
-    grade = F.floor(8 * F.log2("c"))
-    graded = sorted(((r.g, r.n, r.c) for r in counts.groupBy(grade.alias("g")).agg(F.count("*").alias("n"), F.sum("c").alias("c")).collect()), reverse=True)
-    words, tokens = sum(n for _, n, _ in graded), sum(c for *_, c in graded)
-    least, have = None, 0
-    for g, n, _ in graded:
-        have += n
-        if have > p.head_words:
-            break
-        least = g
-    in_head = F.lit(False) if least is None else grade >= least
-    head = counts.filter(in_head).toPandas().sort_values(["c", "h"], ascending=[False, True], ignore_index=True)
-    core = np.sort(head["h"].to_numpy(np.int64)[: p.own_units].view(np.uint64))
-
-    side = p.units + 1
-    cells = training.mapInArrow(_pairer(spark.sparkContext.broadcast(core), p), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
-    n = np.zeros(side * side, dtype=np.int64)
-    n[cells["cell"].to_numpy(np.int64)] = cells["c"].to_numpy(np.int64)
-    n = n.reshape(side, side)
+    sums = counts.agg(F.count("*").alias("n"), F.coalesce(F.sum("c"), F.lit(0)).alias("c")).first()
+    v = vocabulary(counts, p)
+    texts = coded(docs, v, ws, p)
+    codes = texts.filter("train").select("codes")
+
+    def bigrams(kind: np.ndarray, k: int) -> np.ndarray:
+        cells = codes.mapInArrow(_pairer(cast((kind, p.suffix_units)), k), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
+        out = np.zeros((k + 1) ** 2, dtype=np.int64)
+        out[cells["cell"].to_numpy(np.int64)] = cells["c"].to_numpy(np.int64)
+        return out.reshape(k + 1, k + 1)
+
+    # the first exchange: the commonest words, and the spelling units for all others
+    spelling = np.arange(p.suffix_units)
+    n = bigrams(np.concatenate([p.own_units + spelling, np.arange(v.core), p.own_units + v.unit[v.core :]]), p.units)
     first = exchange(n[:-1, :-1], p)
-
-    # the vocabulary: words of the first exchange keep its classes, the others start from their spelling's
-    words_own = counts.filter(F.col("c") >= p.least).select("h", F.col("unit").cast("int").alias("unit")).toPandas()
-    h, unit = words_own["h"].to_numpy(np.int64).view(np.uint64), words_own["unit"].to_numpy(np.int64)
-    missing = ~np.isin(head["h"].to_numpy(np.int64)[: p.own_units].view(np.uint64), h)
-    h, unit = np.concatenate([h, head["h"].to_numpy(np.int64)[: p.own_units].view(np.uint64)[missing]]), np.concatenate([unit, head["unit"].to_numpy(np.int64)[: p.own_units][missing]])
-    order = np.argsort(h, kind="stable")
-    own, unit = h[order], unit[order]
-    is_core = np.isin(own, core)
-    of = first[p.own_units + unit]
-    of[is_core] = first[: len(core)]
-    cls = np.concatenate([of, first[p.own_units :]]).astype(np.int16)
-    kinds_rare = np.zeros(p.suffix_units, dtype=np.int64)
-    for r in counts.groupBy("unit").agg(F.count("*").alias("n")).collect():
-        kinds_rare[r.unit] = r.n
-    kinds_rare -= np.bincount(unit, minlength=p.suffix_units)
-
-    def bigrams(cls: np.ndarray):
-        shared = spark.sparkContext.broadcast((own, cls, is_core))
-        cells = training.mapInArrow(_class_pairer(shared, p), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
-        g = np.zeros((p.classes + 1) ** 2)
-        g[cells["cell"].to_numpy(np.int64)] = cells["c"].to_numpy(np.int64)
-        return shared, g.reshape(p.classes + 1, p.classes + 1)
-
-    edge = np.append(first, p.classes)
-    hot = np.eye(p.classes + 1, dtype=np.int64)[edge]
+    unit_cls = first[p.own_units :]
+    own_cls = unit_cls[v.unit]
+    own_cls[: v.core] = first[: v.core]
+    cls = np.concatenate([unit_cls, own_cls]).astype(np.uint8 if p.classes <= 256 else np.int32)
+    hot = np.eye(p.classes + 1, dtype=np.int64)[np.append(first, p.classes)]
     g = (hot.T @ n @ hot).astype(float)
-    shared = spark.sparkContext.broadcast((own, cls, is_core))
-    for _ in range(p.rounds if (~is_core).any() else 0):
-        table = training.mapInArrow(_contexts(shared, p), "word long, slot long, c long").groupBy("word", "slot").agg(F.sum("c").alias("c"))
-        moves = table.repartition("word").sortWithinPartitions("word", "slot").mapInArrow(_mover(spark.sparkContext.broadcast((cls, g))), "word long, cls long").toPandas()
+    for _ in range(p.rounds if len(v.hash) > v.core else 0):
+        table = codes.mapInArrow(_contexts(cast((cls, p.suffix_units)), v.core, p), "word long, slot short, c int")
+        moves = table.repartition("word").sortWithinPartitions("word", "slot").mapInArrow(_mover(cast((cls, p.suffix_units, g))), "word long, cls long").toPandas()
         if not len(moves):
             break
         new = cls.copy()
-        new[moves["word"].to_numpy(np.int64)] = moves["cls"].to_numpy(np.int64)
-        shared, now = bigrams(new)
+        new[p.suffix_units + moves["word"].to_numpy(np.int64)] = moves["cls"].to_numpy(np.int64)
+        now = bigrams(new, p.classes).astype(float)
         if likelihood(now) <= likelihood(g):
             break
         cls, g = new, now
 
     share = (g.sum(0) + 1) / (g.sum() + p.classes + 1)
     move = np.log10((g + p.beta * share) / (g.sum(1, keepdims=True) + p.beta))
-    kinds = np.bincount(cls, np.concatenate([np.ones(len(own)), kinds_rare]), p.classes)
+    kinds_rare = np.zeros(p.suffix_units, dtype=np.int64)
+    for r in counts.groupBy("unit").agg(F.count("*").alias("n")).collect():
+        kinds_rare[r.unit] = r.n
+    kinds_rare -= np.bincount(v.unit, minlength=p.suffix_units)
+    kinds = np.bincount(cls, np.concatenate([kinds_rare, np.ones(len(v.hash))]), p.classes)
     room = np.append(np.log10(g.sum(0)[:-1] + kinds + 1), 0.0)
-    order = np.argsort(head["h"].to_numpy(np.int64).view(np.uint64), kind="stable")
-    model = Model(own, cls, move, room, head["h"].to_numpy(np.int64).view(np.uint64)[order], head["c"].to_numpy(np.int64)[order], ends, tokens + ends, words + (ends > 0))
-    return model, counts.filter(~in_head).select("h", "c")
+    model = Model(v.hash, cls[p.suffix_units :], cls[: p.suffix_units], move, room, ends, sums.c + ends, sums.n + (ends > 0))
+    # words of the vocabulary are no longer open, so the whole table may be joined
+    return model, texts, counts.select("h", "c")
 
 
 def score_texts(docs: DataFrame, p: LmParams = LmParams(), ws: Workspace | None = None) -> DataFrame:
@@ -468,13 +540,13 @@ def score_texts(docs: DataFrame, p: LmParams = LmParams(), ws: Workspace | None
     spark = docs.sparkSession
     ws = ws or Workspace(spark, "brown")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    model, rare = learn(docs, ws, p)
-    schema = "rid long, doc_id long, n long, known long, base double, score double, hs array<long>, tfs array<long>"
-    # rid and the words that go with it are written by one and the same task
-    part = ws.save(docs.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(_scorer(spark.sparkContext.broadcast(model), p), schema), "part")
-    rest = part.select("rid", F.explode(F.arrays_zip("hs", "tfs")).alias("x")).select("rid", F.col("x.hs").alias("h"), F.col("x.tfs").alias("tf"))
-    found = rest.join(rare, "h").groupBy("rid").agg(F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("more"), F.sum("tf").alias("seen"))
-    out = part.drop("hs", "tfs").join(found, "rid", "left")
+    model, texts, counts = learn(docs, ws, p)
+    shared = spark.sparkContext.broadcast((np.concatenate([model.unit_cls, model.cls]), p.suffix_units, model.move, model.room, model.ends, model.base_room))
+    scored = texts.select("rid", "doc_id", "known", "logs", "codes").mapInArrow(_scorer(shared, p), "rid long, doc_id long, n long, known long, base double, score double")
+    # rid and the words that go with it were written by one and the same task
+    rest = texts.select("rid", "open").mapInArrow(_rare, "rid long, h long, tf long")
+    found = rest.join(counts.filter(F.col("c") < p.least), "h").groupBy("rid").agg(F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("more"), F.sum("tf").alias("seen"))
+    out = scored.join(found, "rid", "left")
     more, seen = F.coalesce("more", F.lit(0.0)), F.coalesce("seen", F.lit(0))
     score = F.col("score") + more
     return out.select(

@@ -29,10 +29,10 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         """Write ``df`` and return the table as read back."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", compression).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

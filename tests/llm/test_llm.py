@@ -119,7 +119,7 @@ def test_lm_counts_and_base(spark, small, odd):
         if zlib.crc32(str(i).encode()) % 7 != 2:
             train.update([*words(t), None])
     total, kinds = sum(train.values()), len(train)
-    p = brown_lm.LmParams(own_units=40, suffix_units=16, classes=8, head_words=300)
+    p = brown_lm.LmParams(own_units=40, suffix_units=16, classes=8, segment=150)
     rows = brown_lm.score_texts(table(spark, SMALL, "documents"), p).collect()
     by = dict(small)
     held = [0.0, 0.0]
@@ -156,8 +156,9 @@ def test_words_beyond_the_core_learn_classes(spark):
     weights = [20 - 0.8 * i for i in range(20)]
     texts = [" ".join(x for _ in range(10) for x in ("the", rng.choices(a, weights)[0], "to", rng.choices(b, weights)[0])) for _ in range(200)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    model, _ = brown_lm.learn(df, Workspace(spark, "t"), brown_lm.LmParams(own_units=12, suffix_units=1, classes=5))
-    own = {w: model.cls[np.searchsorted(model.own, next(textbytes.words_of(pa.array([w]))).hash[0])] for w in [*a, *b]}
+    model, *_ = brown_lm.learn(df, Workspace(spark, "t"), brown_lm.LmParams(own_units=12, suffix_units=1, classes=5))
+    by = dict(zip(model.own.tolist(), model.cls.tolist(), strict=True))
+    own = {w: by[int(next(textbytes.words_of(pa.array([w]))).hash[0])] for w in [*a, *b]}
     assert len(model.own) == 42 and not {own[w] for w in a} & {own[w] for w in b}
 
 
