@@ -225,20 +225,21 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x = column_features(batch.column("text"))
         flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(FEATURES)), pa.array(x.reshape(-1)))
-        yield pa.RecordBatch.from_arrays([batch.column("y"), flat], names=["y", "x"])
+        yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("h"), flat], names=["y", "h", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, p: GamParams = GamParams()) -> Gam:
-    """Fit on the labelled rows that are not held out, ``max_train`` at most; every row of a document that has several labels counts once."""
+    """Fit on the labelled rows that are not held out, ``max_train`` at most: of documents and then of rows those with the smallest hash; every row of a document that has several labels counts once."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("y")).filter("doc_id is not null and y in (0, 1)").filter(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("y").cast("double").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.max_train)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select("y", "text")
-    rows = texts.mapInArrow(_featurise, "y double, x array<double>").toPandas()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select("y", F.xxhash64("doc_id", "text").alias("h"), "text")
+    # an id may stand in any number of rows, so the bound holds before they are collected
+    rows = texts.mapInArrow(_featurise, "y double, h long, x array<double>").orderBy("h", "y").limit(p.max_train).toPandas()
     # the order in which tasks end must not show in the sums
     x = np.array(rows["x"].tolist()).reshape(len(rows), len(FEATURES))
     y = rows["y"].to_numpy(float)
     order = np.lexsort((*x.T, y))
-    return fit(x[order][: p.max_train], y[order][: p.max_train], p)
+    return fit(x[order], y[order], p)
 
 
 def _score_of(model: Gam, names: list[str]):
