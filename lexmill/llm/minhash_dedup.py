@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -151,11 +151,13 @@ def _across(deltas: DataFrame, p: MinHashParams, ws: Workspace) -> DataFrame:
     So in any order of the elements both have a common one among their first
     |D| - least + 1: an equi-join on (pivot, element) finds every such pair without
     going through the pairs of a bucket.  Elements come the later in the order the
-    more of a pivot's members differ from it in them, as far as 64 members show; the
+    more of a pivot's members differ from it in them, as far as some 64 members show; the
     order decides how many pairs are met in vain, never which are found.
     """
     f = (100 - p.percent) / (100 + p.percent)
-    some = deltas.withColumn("k", F.row_number().over(Window.partitionBy("b").orderBy(F.xxhash64("a")))).filter("k <= 64")
+    # every so manieth member by hash, so that no pivot's members are gathered in one task
+    sizes = deltas.groupBy("b").agg(F.count("*").alias("size"))
+    some = deltas.select("a", "b", "d").join(sizes, "b").filter(F.pmod(F.xxhash64("a"), F.ceil(F.col("size") / 64)) == 0)
     votes = some.select("b", F.explode("d").alias("e")).groupBy("b", "e").agg(F.count("*").alias("c")).filter("c > 1")
     tier = F.when(F.col("c") * 2 > F.col("m"), 2).when(F.col("c") * 8 > F.col("m"), 1).otherwise(0)
     votes = votes.join(some.groupBy("b").agg(F.count("*").alias("m")), "b").withColumn("tier", tier)
