@@ -471,6 +471,16 @@ def test_quality(spark, odd):
     assert {r.score for r in quality_gam.score_quality(odd, labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_of_repeated_ids(spark):
+    """Two labelled ids with more rows than may be collected: the bound holds, and both labels stay."""
+    ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5][:2]
+    docs = spark.createDataFrame([(ids[0], f"Good prose number {k} with words. " * 3) for k in range(300)] + [(ids[1], f"x9 ## {k} | !!") for k in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(ids[0], 1, 0), (ids[1], 0, 0)], "doc_id long, quality int, toxic int")
+    model = quality_gam.train(docs, labels, quality_gam.GamParams(max_train=200))
+    assert model.tables and abs(model.intercept) < 1
+    assert quality_gam.score_quality(docs.limit(0), labels).count() == 0
+
+
 def test_features_do_not_depend_on_neighbours():
     texts = ["Ab c.\nAb c.\n", "", "x | y!", "é" * 50, "A"]
     alone = np.concatenate([quality_gam.column_features(pa.array([t])) for t in texts])
@@ -510,6 +520,36 @@ def test_chat_threads(spark, duck):
     assert len(pdf) and chat_threads.reply_ordered(df.limit(0)).count() == 0
 
 
+def test_chat_of_many_quotes_equals_sql(spark, duck):
+    """Nested quotes, a hot conversation, a chain of replies, and lines that several messages say."""
+    rng = random.Random(14)
+    vocabulary = [f"w{k}" for k in range(400)]
+    rows, said = [], {}
+    for k in range(2500):
+        conv = 1 if rng.random() < 0.4 else rng.randrange(2, 120)
+        earlier = said.setdefault(conv, [])
+        own = " ".join(rng.choice(vocabulary) for _ in range(rng.randint(3, 9))) if rng.random() < 0.95 else "same line"
+        parts = []
+        if earlier and rng.random() < 0.7:
+            inner = rng.choice(earlier)
+            if rng.random() < 0.3:
+                parts += ["Anna wrote:", *(f"> > {x}" for x in rng.choice(earlier).split("\n"))]
+            parts += [f"> {x}" for x in inner.upper().split("\n")]
+        text = "\n".join([*parts, own, *([f"> never said {k}"] if rng.random() < 0.1 else [])])
+        rows.append((conv, len(earlier), "user" if len(earlier) % 2 else "assistant", text))
+        earlier.append(own)
+    for k in range(300):  # each replies to the one before
+        rows.append((500, k, "user", (f"> chain {k - 1}\n" if k else "") + f"chain {k}"))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duck.cursor()
+    pdf = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"])
+    con.execute("CREATE OR REPLACE TEMP TABLE conversations AS SELECT * FROM pdf")
+    out = chat_threads.reply_ordered(df).cache()
+    same(out, con, queries.oracle_sql()["op10_chat_threads"])
+    assert len(pdf) == out.count() and out.filter("reply_to is not null").count() > 1000 and out.agg(F.max("depth")).first()[0] == 299
+    out.unpersist()
+
+
 def test_trimmed_quotes_link(spark):
     rows = [
         (1, 0, "user", "ok\nunrelated"), (1, 1, "assistant", "first line\nsecond line\nthird line\n\npara two\ngoes on\n\npara three"), (1, 2, "user", "ok\nother things"),
