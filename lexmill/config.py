@@ -98,6 +98,7 @@ class MinHashParams:
     seed: int = 42
     window: int = 3000
     max_chars: int = 100_000
+    hash: str = "xxh3"  #: of a shingle; or md5
 
     @property
     def rows(self) -> int:

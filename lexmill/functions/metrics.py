@@ -13,7 +13,7 @@ from .text import SPACE, strip
 LETTER, DIGIT, UPPER = r"\p{L}", r"\p{Nd}", r"\p{Lu}"
 FRENCH = "a-zA-ZàâäéèêëîïôöùûüÿçœæÀÂÄÉÈÊËÎÏÔÖÙÛÜŸÇŒÆ"
 _CONSONANTS = "bcdfghjklmnpqrstvwxzç"
-_VOWELS = "aeiouyàâäéèêëîïôöùûüÿœæ"
+_VOWELS = "aeiouyàâäéèêëîïôöùûüœæ"
 
 
 def count(text: Column, pattern: str) -> Column:
@@ -89,19 +89,11 @@ def is_french_light(text: Column, threshold: Column | float) -> Column:
 
 
 def entropy(text: Column) -> Column:
-    """Shannon entropy of the characters, in bits."""
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-    n = F.size(chars)
-    # sorted characters fall into runs; a run's end gives its length
-    ordered = F.array_sort(chars)
-    state = F.struct(F.lit("").alias("c"), F.lit(0).alias("k"), F.lit(0.0).alias("s"))
-    part = lambda k: F.when(k > 0, k * F.log2(F.greatest(k, F.lit(1)))).otherwise(0.0)
-
-    def step(a: Column, c: Column) -> Column:
-        same = a["c"] == c
-        return F.struct(c.alias("c"), F.when(same, a["k"] + 1).otherwise(1).alias("k"), F.when(same, a["s"]).otherwise(a["s"] + part(a["k"])).alias("s"))
-
-    total = F.aggregate(ordered, state, step, lambda a: a["s"] + part(a["k"]))
+    """Shannon entropy of the characters, in bits; each distinct one is counted by what its removal takes away."""
+    n = F.length(text)
+    kinds = F.array_distinct(F.filter(F.split(text, ""), lambda c: c != ""))
+    part = F.transform(kinds, lambda c: (n - F.length(F.replace(text, c, F.lit("")))).cast("double"))
+    total = F.aggregate(part, F.lit(0.0), lambda s, k: s + k * F.log2(k))
     return F.when(n > 0, F.greatest(F.lit(0.0), F.log2(n) - total / n)).otherwise(0.0)
 
 
@@ -170,6 +162,16 @@ def foreign_share(text: Column) -> Column:
     return F.when(letters > 0, count(text, rf"[\p{{L}}&&[^{FRENCH}]]") / letters).otherwise(0.0)
 
 
+def training_hours(steps: Column, tokens_per_step: int, rate: Column) -> Column:
+    """Hours that the steps take at a rate of tokens per second; null without a rate."""
+    return F.when(rate > 0, steps * tokens_per_step / rate / 3600)
+
+
+def budget_estimate(price_per_hour: Column, hours: Column, count: Column | int = 1) -> Column:
+    """Price of ``count`` machines for the hours."""
+    return price_per_hour * hours * count
+
+
 def noise_rank(suspect: Column, fertility: Column, foreign: Column, fallback: Column, base: float = 1.54) -> Column:
     return F.greatest(suspect, F.least(F.lit(1.0), F.greatest(F.lit(0.0), (fertility - base) / 1.5)), foreign, fallback)
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import with_rank, with_running
+from .ranks import with_rank, with_running, with_running_in
 from .sample import order_key, split_tokens
 from .select import budget_prefix
 
@@ -38,8 +38,8 @@ def select_documents(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     epochs = own.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.ceil(F.col("budget") / F.col("avail")).cast("int"))))
     keyed = epochs.withColumn("_o", order_key(seed, F.col("epoch"), F.col("doc_idx")))
     kept = budget_prefix(keyed, ["source"], ["epoch", "_o", "doc_idx"], "n_tok", "budget")
-    rn = F.row_number().over(Window.partitionBy("source").orderBy("epoch", "_o", "doc_idx"))
-    return kept.withColumn("rn", rn).select("source", "doc_idx", "epoch", "n_tok", "rn")
+    ranked = with_running_in(kept.withColumn("_one", F.lit(1)), ["source"], ["epoch", "_o", "doc_idx"], F.col("_one"), "rn")
+    return ranked.withColumn("rn", F.col("rn").cast("int")).select("source", "doc_idx", "epoch", "n_tok", "rn")
 
 
 def interleave(chosen: DataFrame, seed: int, chunk: int = 2000) -> DataFrame:

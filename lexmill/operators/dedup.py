@@ -3,7 +3,7 @@
 Near duplicates: a document goes if one of its signature's bands is that of an
 earlier document that stays.  Documents that go never shadow others, so the result
 is the first maximal independent set over the given order; it is found by rounds
-over the edges, each of which settles every document whose earlier neighbours are.
+over the bands' minima, each of which settles whatever its earlier neighbours allow.
 """
 
 from __future__ import annotations
@@ -23,6 +23,22 @@ MERSENNE = (1 << 61) - 1
 EMPTY = 0xFFFFFFFF
 
 
+def with_shingles(df: DataFrame, text: Column, k: int = 5, name: str = "shingles") -> DataFrame:
+    """With the distinct k-character shingles of a text, in the order in which they come; none of a shorter one."""
+    chars = F.col("_chars")  # a column of its own, as a lambda would take the text apart for each shingle
+    n = F.size(chars)
+    own = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(chars, i, k), "")))
+    held = df.withColumn("_chars", F.filter(F.split(text, ""), lambda c: c != ""))
+    return held.withColumn(name, F.when(n >= k, own).otherwise(F.array().cast("array<string>"))).drop("_chars")
+
+
+def dedup_stats(docs: DataFrame, kept: DataFrame, low: Column) -> DataFrame:
+    """(source, read, kept, dup, low_quality) of ``docs`` (id, source) with ``kept`` (id, keep): a document that ``low`` holds for counts as weak, and of the others those that go are copies."""
+    met = docs.join(kept, "id")
+    weak = F.coalesce(low, F.lit(False))
+    return met.groupBy("source").agg(F.count("*").alias("read"), F.count_if(F.col("keep") & ~weak).alias("kept"), F.count_if(~F.col("keep")).alias("dup"), F.count_if(F.col("keep") & weak).alias("low_quality"))
+
+
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of each key in the order."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
@@ -61,11 +77,15 @@ def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def base_hashes(text: str, k: int) -> np.ndarray:
-    """Lower 32 bits of XXH3-64 of the distinct k-character shingles."""
+def base_hashes(text: str, k: int, kind: str = "xxh3") -> np.ndarray:
+    """Of the distinct k-character shingles the lower 32 bits of XXH3-64, or the first 32 of an md5."""
+    import hashlib
+
     import xxhash
 
     own = {text[i : i + k] for i in range(len(text) - k + 1)}
+    if kind == "md5":
+        return np.fromiter((int(hashlib.md5(s.encode()).hexdigest()[:8], 16) for s in own), dtype=np.uint64, count=len(own))
     return np.fromiter((xxhash.xxh3_64_intdigest(s) & 0xFFFFFFFF for s in own), dtype=np.uint64, count=len(own))
 
 
@@ -73,7 +93,7 @@ def _signer(p: MinHashParams):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = permutations(p)
         for batch in batches:
-            rows = [signature(base_hashes(t or "", p.shingle), a, b).astype(np.int64) for t in batch.column("_view").to_pylist()]
+            rows = [signature(base_hashes(t or "", p.shingle, p.hash), a, b).astype(np.int64) for t in batch.column("_view").to_pylist()]
             flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
             sig = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * p.permutations), flat)
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in batch.schema.names if k != "_view"), sig], names=[*(k for k in batch.schema.names if k != "_view"), "signature"])
@@ -93,31 +113,45 @@ def similarity(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / F.size(a)
 
 
-def band_edges(signed: DataFrame, p: MinHashParams = MinHashParams()) -> DataFrame:
-    """(id, ord, other, other_ord): other is an earlier document that shares a band.
-
-    Per band key only the chain of neighbours in the order is not enough, for a
-    dropped document never shadows; all pairs of a key are needed by the rule, so
-    identical signatures are folded first and only distinct ones are paired.
-    """
+def band_keys(signed: DataFrame, p: MinHashParams = MinHashParams()) -> DataFrame:
+    """(id, ord, band, key): a row for each band of a signature."""
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), lambda i: F.struct(i.alias("band"), F.slice("signature", i * p.rows + 1, F.lit(p.rows)).alias("key"))))
-    keyed = signed.select("id", "ord", band.alias("k")).select("id", "ord", "k.band", F.sha2(F.array_join("k.key", ","), 256).alias("key"))
-    earlier = keyed.select(F.col("id").alias("other"), F.col("ord").alias("other_ord"), "band", "key")
-    return keyed.join(earlier, ["band", "key"]).filter(F.col("other_ord") < F.col("ord")).select("id", "ord", "other", "other_ord").distinct()
+    return signed.select("id", "ord", band.alias("k")).select("id", "ord", "k.band", F.sha2(F.array_join("k.key", ","), 256).alias("key"))
+
+
+def band_matches(keyed: DataFrame) -> DataFrame:
+    """(id, first, bands): the first document of all that share a band with this one, itself left out, and in how many bands a document stands before it."""
+    first = keyed.groupBy("band", "key").agg(F.min_by("id", "ord").alias("first"), F.min("ord").alias("first_ord"))
+    met = keyed.join(first, ["band", "key"]).filter("first_ord < ord")
+    return met.groupBy("id").agg(F.min_by("first", "first_ord").alias("first"), F.count("*").alias("bands"))
 
 
-def resolve(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, keep) of every node: keep if every earlier neighbour goes, go if one stays."""
-    state = staged(nodes.select("id", F.lit(None).cast("boolean").alias("keep")))
-    edges = staged(edges.select("id", "other"))
-    while True:
-        other = state.select(F.col("id").alias("other"), F.col("keep").alias("other_keep"))
-        open_edges = edges.join(state.filter("keep is null").select("id"), "id", "left_semi").join(other, "other")
-        verdict = open_edges.groupBy("id").agg(F.bool_or(F.coalesce("other_keep", F.lit(False))).alias("hit"), F.bool_and(F.coalesce(~F.col("other_keep"), F.lit(False))).alias("clear"))
-        step = state.join(verdict, "id", "left").select("id", F.when(F.col("keep").isNotNull(), F.col("keep")).when(F.coalesce("hit", F.lit(False)), False).when(F.coalesce("clear", F.lit(True)), True).alias("keep"))
-        state = staged(step)
-        if state.filter("keep is null").isEmpty():
-            return state
+def settle(keyed: DataFrame) -> DataFrame:
+    """(id, keep) for every id of ``keyed`` (id, ord, band, key): keep if no earlier document that stays shares a band.
+
+    Rounds over the least order of each band: a document that comes first among those
+    still standing in all of its bands stays, and one that has a staying one before it
+    in any goes.  No pairs are formed, however many share a band.
+    """
+    alone = keyed.groupBy("band", "key").agg(F.count("*").alias("c"))
+    # a band of one document decides nothing
+    state = staged(keyed.join(alone.filter("c > 1").select("band", "key"), ["band", "key"], "left_semi").withColumn("keep", F.lit(None).cast("boolean")))
+    done = keyed.select("id").distinct().join(state.select("id").distinct(), "id", "left_anti").withColumn("keep", F.lit(True))
+    parts = [staged(done)]
+    while not state.isEmpty():
+        least = state.groupBy("band", "key").agg(F.min("ord").alias("least"), F.min(F.when(F.col("keep"), F.col("ord"))).alias("kept"))
+        met = state.join(least, ["band", "key"])
+        verdict = met.filter("keep is null").groupBy("id").agg(F.bool_or(F.coalesce(F.col("kept") < F.col("ord"), F.lit(False))).alias("hit"), F.bool_and(F.col("least") == F.col("ord")).alias("clear"))
+        decided = staged(verdict.filter("hit or clear").select("id", (~F.col("hit")).alias("keep")))
+        parts.append(decided)
+        # those that go leave their bands; those that stay remain as long as a band has someone undecided
+        left = state.join(decided.withColumnRenamed("keep", "now"), "id", "left").filter(F.coalesce("now", F.lit(True))).withColumn("keep", F.coalesce("keep", "now")).drop("now")
+        open_ = left.groupBy("band", "key").agg(F.bool_or(F.col("keep").isNull()).alias("open")).filter("open").select("band", "key")
+        state = staged(left.join(open_, ["band", "key"], "left_semi").select(*keyed.columns, "keep"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def near_dedup(docs: DataFrame, p: MinHashParams = MinHashParams()) -> DataFrame:
@@ -128,5 +162,5 @@ def near_dedup(docs: DataFrame, p: MinHashParams = MinHashParams()) -> DataFrame
     """
     signed = staged(with_signature(docs, p).withColumn("sig", F.sha2(F.array_join("signature", ","), 256)))
     first = staged(signed.groupBy("sig").agg(F.min_by(F.struct("id", "ord", "signature"), "ord").alias("r")).select("sig", "r.*"))
-    kept = resolve(first.select("id"), band_edges(first, p)).filter("keep").select("id", "keep")
+    kept = settle(band_keys(first, p)).filter("keep").select("id", "keep")
     return signed.select("id").join(kept, "id", "left").select("id", F.coalesce("keep", F.lit(False)).alias("keep"))

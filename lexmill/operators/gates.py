@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import COMMON_GATE, DEFAULT_GATE, LIGHT_GATE, SOURCE_GATES, GateParams
+from ..config import COMMON_GATE, COMMON_LIGHT, DEFAULT_GATE, LIGHT_GATE, SOURCE_GATES, GateParams
 from ..functions import metrics as M
 from ..functions.text import clean
 
@@ -56,13 +56,17 @@ def with_reason(docs: DataFrame, overrides: Mapping[str, GateParams] = SOURCE_GA
     return out.withColumn("reason", reason).select(*docs.columns, "reason")
 
 
-def passes_light(text: Column, p: GateParams = LIGHT_GATE) -> Column:
-    t = M.strip(text)
-    n = F.length(t)
-    alpha, space, digit = M.count(t, M.LETTER), M.count(t, M.SPACE), M.count(t, M.DIGIT)
-    sizes = (n >= p.min_chars) & (F.size(M.words(t)) >= p.min_words) & (F.size(M.lines(t)) >= p.min_lines)
-    shares = (digit / n <= p.max_digits) & ((n - alpha - space - digit) / n <= p.max_special) & (M.upper_share(t) <= p.max_upper)
-    return F.coalesce(F.when(sizes, shares & M.is_french_light(t, p.french)).otherwise(False), F.lit(False))
+def with_light(docs: DataFrame, p: GateParams = LIGHT_GATE) -> DataFrame:
+    """``docs`` (text) with ok: whether a text passes the light gate.  Counts are columns of their own, as in ``with_reason``."""
+    t, col = F.col("_g_t"), lambda k: F.col(f"_g_{k}")
+    counts = {"n": F.length(t), "alpha": M.count(t, M.LETTER), "space": M.count(t, M.SPACE), "digit": M.count(t, M.DIGIT), "upper": M.count(t, M.UPPER), "words": F.size(M.words(t)), "lines": F.size(M.lines(t)), "found": M.letter_words(F.substring(t, 1, 3000), "a-zà-ÿ")}
+    n, alpha = col("n"), col("alpha")
+    sizes = (n >= p.min_chars) & (col("words") >= p.min_words) & (col("lines") >= p.min_lines)
+    shares = (col("digit") / n <= p.max_digits) & ((n - alpha - col("space") - col("digit")) / n <= p.max_special) & (F.when(alpha > 0, col("upper") / alpha).otherwise(0.0) <= p.max_upper)
+    french = M.common_share(col("found"), COMMON_LIGHT, 10, None)
+    out = docs.withColumn("_g_t", M.strip(F.col("text"))).withColumns({f"_g_{k}": v for k, v in counts.items()})
+    ok = F.coalesce(F.when(sizes, shares & (french.isNull() | (french >= p.french))).otherwise(False), F.lit(False))
+    return out.withColumn("ok", ok).select(*docs.columns, "ok")
 
 
 def clean_documents(docs: DataFrame, wiki_sources: tuple[str, ...] = ("wikipedia", "wikisource"), **gate) -> DataFrame:

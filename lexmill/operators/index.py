@@ -20,6 +20,46 @@ def eos_offsets(tokens: DataFrame, eos: int = 3) -> DataFrame:
     return with_rank(tokens.filter(F.col("token") == eos).select(F.col("pos").alias("eos_off")), [F.col("eos_off")], "_n").select((F.col("_n") - 1).alias("doc_idx"), "eos_off")
 
 
+def shard_ends(tokens: DataFrame, eos: int = 3) -> DataFrame:
+    """(file, tokens, docs, ends_on_eos) of a stream (file, at, token)."""
+    return tokens.groupBy("file").agg(F.count("*").alias("tokens"), F.count_if(F.col("token") == eos).alias("docs"), (F.max_by("token", "at") == eos).alias("ends_on_eos"))
+
+
+def doc_tokens(tokens: DataFrame, spans: DataFrame) -> DataFrame:
+    """(doc_idx, tokens) of documents ``spans`` (doc_idx, first, last) out of a stream (pos, token): random access across files.
+
+    Spans are cut to blocks of positions, so the join is by equality of blocks.
+    """
+    block = 1 << 16
+    wanted = spans.withColumn("block", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor(F.col("last") / block))))
+    met = tokens.withColumn("block", F.floor(F.col("pos") / block)).join(wanted, "block").filter(F.col("pos").between(F.col("first"), F.col("last")))
+    return met.groupBy("doc_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda s: s["token"]).alias("tokens"))
+
+
+def finalized(lines: DataFrame, tokens: DataFrame, raw: str = "raw", eos: int = 3) -> DataFrame:
+    """(doc_idx, line_no, source, n_tok, eos_off): the documents of a token stream (pos, token) with the lines (line_no, source, raw) they came from.
+
+    Lines that give no document are shifted over; an error if there are more lines than documents or the other way round.
+    """
+    docs = lengths(eos_offsets(tokens, eos))
+    good = lines.filter(skip_reason(F.col(raw)).isNull()).count()
+    if (have := docs.count()) != good:
+        raise ValueError(f"{good} lines give documents, but the stream has {have}")
+    return shift_over_skipped(lines, docs, raw).select("doc_idx", "line_no", "source", "n_tok", "eos_off")
+
+
+def sanity(docs: DataFrame, decoded: DataFrame, lines: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
+    """(doc_idx, same) of k documents: whether what their tokens decode to is the line's text."""
+    from .sample import reservoir
+
+    return reservoir(docs.select("doc_idx"), "doc_idx", k, seed).join(decoded, "doc_idx").join(lines, "doc_idx").select("doc_idx", F.col("decoded").eqNullSafe(F.col("text")).alias("same"))
+
+
+def class_totals(totals: DataFrame) -> DataFrame:
+    """Roll-up of ``source_totals`` to classes."""
+    return totals.groupBy("class").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"), F.sum("pct").alias("pct"), (F.sum("tokens") / F.sum("docs")).alias("mean_tokens"))
+
+
 def lengths(offsets: DataFrame) -> DataFrame:
     """n_tok of each document: up to its end token from that of the one before."""
     before = offsets.select((F.col("doc_idx") + 1).alias("doc_idx"), F.col("eos_off").alias("_before"))

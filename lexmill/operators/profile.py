@@ -34,10 +34,14 @@ def top_trigrams(docs: DataFrame, group: str | None = "source", text: str = "tex
     return counts.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("_r") <= k).drop("_r")
 
 
-def noise_panel(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Row-wise shares of suspect words and foreign letters, and their rank."""
+def noise_panel(docs: DataFrame, text: str = "text", fertility: Column | None = None, fallback: Column | None = None) -> DataFrame:
+    """Row-wise shares of suspect words and foreign letters, and their rank.
+
+    ``fertility`` (tokens for each word) and ``fallback`` (share of byte tokens) come
+    from whatever tokenizer the caller has; without them they don't count.
+    """
     out = docs.withColumns({"suspect": M.suspect_share(F.col(text)), "foreign": M.foreign_share(F.col(text))})
-    return out.withColumn("noise", M.noise_rank(F.col("suspect"), F.lit(1.54), F.col("foreign"), F.lit(0.0)))
+    return out.withColumn("noise", M.noise_rank(F.col("suspect"), F.lit(1.54) if fertility is None else F.coalesce(fertility, F.lit(1.54)), F.col("foreign"), F.lit(0.0) if fallback is None else fallback))
 
 
 def percentiles(df: DataFrame, value: str, group: Sequence[str] = (), points: Sequence[float] = (0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:

@@ -62,6 +62,17 @@ def split_tokens(df: DataFrame, used: DataFrame, key: str, tokens: str, budget:
     return with_running(free, [F.col("_o"), F.col(key)], F.col(tokens), "_sum").filter(F.col("_sum") - F.col(tokens) < budget).drop("_o", "_sum")
 
 
+def bernoulli_to(df: DataFrame, key: str, size: Column, target: int, read_cap: int, seed: int = 42) -> DataFrame:
+    """Rows drawn at the rate target / read_cap, in the order of ``key``, until ``target`` bytes are reached; the crossing one is in."""
+    drawn = bernoulli(df, key, min(1.0, target / read_cap), seed).withColumn("_size", size)
+    return with_running(drawn, [F.col(key)], F.col("_size"), "_sum").filter(F.col("_sum") - F.col("_size") < target).drop("_size", "_sum")
+
+
+def shuffle_place(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """With place, from 0: where a seeded shuffle puts the row."""
+    return with_rank(df.withColumn("_o", order_key(seed, F.col(key))), [F.col("_o"), F.col(key)], "place").withColumn("place", F.col("place") - 1).drop("_o")
+
+
 def shuffled(df: DataFrame, key: str, seed: int = 42, cols: Sequence[str] = ()) -> DataFrame:
     """In the order of a seeded shuffle."""
     return df.withColumn("_o", order_key(seed, *(F.col(c) for c in cols), F.col(key))).orderBy("_o", key).drop("_o")

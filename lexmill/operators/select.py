@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranks import with_rank
+from ..sources.sinks import staged
+from .ranks import with_rank, with_running_in
 
 
 def top_share(df: DataFrame, score: str, share: float = 0.85) -> DataFrame:
     """Rows at or above the score that ``share`` of the rows reach: the one at place min(int(n * (1 - share)), n - 1) from below."""
+    df = staged(df)  # the rows are gone through for the places and again for the cut
     n = df.count()
     if not n:
         return df
@@ -28,15 +30,29 @@ def head_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[Co
 
 def byte_cap(df: DataFrame, group: str, order: Sequence[Column | str], size: Column, cap: int, crossing: bool) -> DataFrame:
     """Rows of each group up to ``cap`` bytes, with or without the one that crosses it."""
-    before = F.coalesce(F.sum(size).over(Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("_before", before).filter(F.col("_before") < cap if crossing else F.col("_before") + size <= cap).drop("_before")
+    summed = with_running_in(df.withColumn("_size", size), [group], order, F.col("_size"), "_sum")
+    before = F.col("_sum") - F.col("_size")
+    return summed.filter(before < cap if crossing else F.col("_sum") <= cap).drop("_size", "_sum")
 
 
 def budget_prefix(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], tokens: str, budget: Column | str | int) -> DataFrame:
     """Rows until the running sum reaches the budget; the crossing one is in."""
     limit = F.lit(budget) if isinstance(budget, int) else F.col(budget) if isinstance(budget, str) else budget
-    running = F.sum(tokens).over(Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("_sum", running).filter(F.col("_sum") - F.col(tokens) < limit).drop("_sum")
+    return with_running_in(df, group, order, F.col(tokens), "_sum").filter(F.col("_sum") - F.col(tokens) < limit).drop("_sum")
+
+
+def best_of(df: DataFrame, group: str, item: str, score: str) -> DataFrame:
+    """(group, item): the item with the greatest score of each group, the smallest of equals."""
+    return df.groupBy(group).agg(F.min_by(item, F.struct((-F.col(score)).alias("s"), F.col(item).alias("i"))).alias(item))
+
+
+def try_list(candidates: DataFrame, places: DataFrame) -> DataFrame:
+    """(try_no, ...): every candidate at every place, candidates in their order; both are short lists of names, and of at most 1000 rows each."""
+    short = [df.limit(1001) for df in (candidates, places)]
+    if any(df.count() > 1000 for df in short):
+        raise ValueError("lists to try are of at most 1000 rows")
+    tried = short[0].join(F.broadcast(short[1]), how="cross")
+    return with_rank(tried, [F.col("candidate_no"), F.col("place_no")], "try_no")
 
 
 def decile_picks(df: DataFrame, order: Sequence[Column], deciles: Sequence[int] = tuple(range(0, 101, 10))) -> DataFrame:

@@ -54,7 +54,8 @@ def masked(ids: Column, marker: Column, ctx: int) -> Column:
     """struct(input_ids, labels): what stands up to the last ``marker`` (an array of ids) is ignored; cut to ctx; null if nothing is left to learn."""
     k = F.size(marker)
     at = F.array_max(F.filter(F.sequence(F.lit(1), F.greatest(F.size(ids) - k + 1, F.lit(1))), lambda i: F.slice(ids, i, k) == marker))
-    labels = F.transform(ids, lambda x, i: F.when(i >= at + k - 1, x).otherwise(IGNORED))
+    start = at + k - 1  # a lambda over the ids would look for the marker once for each of them
+    labels = F.concat(F.array_repeat(F.lit(IGNORED), start), F.slice(ids, start + 1, F.greatest(F.size(ids) - start, F.lit(0))))
     cut = F.slice(labels, 1, ctx)
     return F.when(at.isNotNull() & F.exists(cut, lambda x: x != IGNORED), F.struct(F.slice(ids, 1, ctx).alias("input_ids"), cut.alias("labels")))
 
@@ -64,6 +65,13 @@ def padded(ids: Column, size: Column | int, pad: int) -> Column:
     return F.slice(F.concat(ids, F.array_repeat(F.lit(pad), F.greatest(F.lit(0), n - F.size(ids)).cast("int"))), F.lit(1), n)
 
 
+def collated(rows: DataFrame, size: int, pad: int = 3) -> DataFrame:
+    """x and y of training rows (input_ids, labels): ids padded with ``pad``, labels with what is ignored, y one ahead of x."""
+    ids, labels = padded(F.col("input_ids"), size, pad), padded(F.col("labels"), size, IGNORED)
+    keep = [c for c in rows.columns if c not in ("input_ids", "labels")]
+    return rows.select(*keep, F.slice(ids, 1, size - 1).alias("x"), F.slice(labels, 2, size - 1).alias("y"))
+
+
 def profile(df: DataFrame) -> DataFrame:
     """Counts and lengths by register, with answers that are very short, very long or still have English in them."""
     n = F.length("reponse")

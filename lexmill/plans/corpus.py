@@ -33,13 +33,19 @@ def quality_threshold(docs: DataFrame, share: float = 0.85, premium: tuple[str,
     return top_share(scores, "score", share).agg(F.min("score")).first()[0]
 
 
-def dedup_quality(docs: DataFrame, p: MinHashParams = MinHashParams(), share: float = 0.85, premium: tuple[str, ...] = PREMIUM_SOURCES, threshold: float | None = None, least: int = 50) -> DataFrame:
-    """``docs`` (id, ord, source, text) with keep and score: near duplicates go first, and weak documents shadow their copies all the same."""
+def quality_kept(docs: DataFrame, share: float = 0.85, premium: tuple[str, ...] = PREMIUM_SOURCES, threshold: float | None = None, least: int = 50) -> DataFrame:
+    """``docs`` (id, source, text) of ``least`` characters with score and ok: premium sources aren't scored and pass."""
     long = docs.filter(F.length("text") >= least)
     limit = quality_threshold(long, share, premium=premium) if threshold is None else threshold
-    kept = near_dedup(long.select("id", "ord", "text"), p)
     score = F.when(~F.col("source").isin(*premium), quality_score(F.col("text")))
-    return long.join(kept, "id").withColumn("score", score).withColumn("keep", F.col("keep") & (F.col("score").isNull() | (F.col("score") >= F.lit(limit))))
+    return long.withColumn("score", score).withColumn("ok", F.col("score").isNull() | (F.col("score") >= F.lit(limit)))
+
+
+def dedup_quality(docs: DataFrame, p: MinHashParams = MinHashParams(), share: float = 0.85, premium: tuple[str, ...] = PREMIUM_SOURCES, threshold: float | None = None, least: int = 50) -> DataFrame:
+    """``docs`` (id, ord, source, text) with keep and score: near duplicates go first, and weak documents shadow their copies all the same."""
+    judged = quality_kept(docs, share, premium, threshold, least)
+    kept = near_dedup(judged.select("id", "ord", "text"), p)
+    return judged.join(kept, "id").withColumn("keep", F.col("keep") & F.col("ok")).drop("ok")
 
 
 @dataclass

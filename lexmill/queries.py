@@ -136,7 +136,7 @@ m AS (SELECT doc_id, length(text) AS n, {_count("text", chr(92) + "p{L}")} AS al
 SELECT doc_id, n >= 200 AND w >= 30 AND l >= 1 AND digit / n <= 0.18::DOUBLE AND (n - alpha - space - digit) / n <= 0.15::DOUBLE AND (alpha = 0 OR upper / alpha <= 0.20::DOUBLE)
   AND (len(fw) < 10 OR len(list_filter(fw, lambda w: list_contains({_common(COMMON_LIGHT)}, w))) / len(fw) >= 0.05::DOUBLE) AS ok FROM m""")
 def light_gate(spark, d):
-    return table(spark, d, "documents").select("doc_id", gates.passes_light(F.col("text")).alias("ok"))
+    return gates.with_light(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "ok")
 
 
 _SCORE = rf"""
@@ -177,7 +177,7 @@ WITH w AS (SELECT doc_id, unnest({_words("text")}) AS w FROM documents),
 c AS (SELECT doc_id, regexp_replace(w, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g') AS c FROM w),
 f AS (SELECT doc_id, c, lower(c) AS low, regexp_full_match(c, '\p{{L}}+') AS plain,
   coalesce(list_sum(list_transform(range(1, length(c)), lambda i: (regexp_matches(substr(c, i, 1), '\p{{Lu}}') <> regexp_matches(substr(c, i + 1, 1), '\p{{Lu}}'))::INTEGER)), 0) AS flips FROM c WHERE c <> ''),
-s AS (SELECT doc_id, regexp_matches(c, '\p{{L}}') AND (regexp_matches(regexp_replace(c, '[{_FR}]', '', 'g'), '\p{{L}}') OR regexp_matches(c, '\p{{L}}\p{{Nd}}|\p{{Nd}}\p{{L}}') OR (plain AND length(c) >= 3 AND NOT regexp_matches(low, '[aeiouyàâäéèêëîïôöùûüÿœæ]'))
+s AS (SELECT doc_id, regexp_matches(c, '\p{{L}}') AND (regexp_matches(regexp_replace(c, '[{_FR}]', '', 'g'), '\p{{L}}') OR regexp_matches(c, '\p{{L}}\p{{Nd}}|\p{{Nd}}\p{{L}}') OR (plain AND length(c) >= 3 AND NOT regexp_matches(low, '[aeiouyàâäéèêëîïôöùûüœæ]'))
   OR regexp_matches(low, '[bcdfghjklmnpqrstvwxzç]{{4,}}') OR (plain AND length(c) >= 4 AND flips >= 2)) AS bad FROM f)
 SELECT doc_id, round(coalesce(avg(bad::INTEGER), 0), 6) AS suspect FROM documents LEFT JOIN s USING (doc_id) GROUP BY doc_id""")
 def suspect_words(spark, d):
@@ -466,3 +466,6 @@ def near_dedup_greedy(spark, d):
 def dedup_and_quality(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("doc_id").alias("ord"), "source", "text")
     return dedup_quality(docs).select("id", "keep", "score")
+
+
+from . import more_queries  # noqa: E402, F401

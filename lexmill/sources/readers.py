@@ -28,8 +28,8 @@ def text_column(df: DataFrame, preset: str = "corpus") -> str:
 
 
 def _identified(df: DataFrame, source: str) -> DataFrame:
-    """Ids from the file and the text, so that they don't repeat over files."""
-    key = F.sha2(F.concat_ws("|", F.col("_metadata.file_path"), F.col("_metadata.file_block_start").cast("string"), F.monotonically_increasing_id().cast("string")), 256)
+    """Ids from the file and the row's place in it, so that they repeat neither over files nor over runs."""
+    key = F.sha2(F.concat_ws("|", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")), 256)
     return df.select(F.concat(F.lit(f"{source}_"), F.substring(key, 1, 16)).alias("id"), F.lit(source).alias("source"), "text")
 
 
@@ -104,15 +104,18 @@ def _untar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column("content").to_pylist():
             rows = []
-            with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
-                for member in tar:
-                    if member.isfile() and member.name.endswith(".xml"):
-                        try:
-                            root = ET.fromstring(tar.extractfile(member).read())
-                        except ET.ParseError:
-                            continue
-                        parts = [el.text.strip() for tag in LEGAL_TAGS for el in root.iter(tag) if el.text and el.text.strip()]
-                        rows.append((member.name, "\n\n".join(parts)))
+            try:
+                with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
+                    for member in tar:
+                        if member.isfile() and member.name.endswith(".xml"):
+                            try:
+                                root = ET.fromstring(tar.extractfile(member).read())
+                            except ET.ParseError:
+                                continue
+                            parts = [el.text.strip() for tag in LEGAL_TAGS for el in root.iter(tag) if el.text and el.text.strip()]
+                            rows.append((member.name, "\n\n".join(parts)))
+            except (tarfile.TarError, EOFError, OSError):  # what was read before the break stays
+                pass
             cols = list(zip(*rows, strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["member", "text"])
 

@@ -61,10 +61,10 @@ def latest(df: DataFrame, order: str, keep: int) -> DataFrame:
     return df.orderBy(F.desc(order)).limit(keep)
 
 
-def write_tokens(spark: SparkSession, docs: DataFrame, path: str) -> int:
-    """Token arrays, in the order of ``pos``, as little-endian uint16 in one part file per range of ``pos``; returns the number of tokens.
+def write_tokens(spark: SparkSession, docs: DataFrame, path: str, eos: int = 3) -> int:
+    """Token arrays, in the order of ``pos``, as Parquet rows of little-endian uint16 bytes (pos, bytes, n), a part file for each range of ``pos``; returns the number of tokens.
 
-    Parts are numbered in order, so their concatenation is the flat stream.
+    The bytes in the order of ``pos`` are the flat stream; a token beyond 65535 or a row without an end token is an error.
     """
     import numpy as np
 
@@ -72,6 +72,9 @@ def write_tokens(spark: SparkSession, docs: DataFrame, path: str) -> int:
         import pyarrow as pa
 
         for batch in batches:
+            for x in batch.column("tokens").to_pylist():
+                if not x or min(x) < 0 or max(x) > 65535 or x[-1] != eos:
+                    raise ValueError("a document's tokens are of 16 bits and end on the end token")
             data = [np.asarray(x, dtype="<u2").tobytes() for x in batch.column("tokens").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("pos"), pa.array(data, pa.binary()), pa.array([len(x) // 2 for x in data], pa.int64())], names=["pos", "bytes", "n"])
 

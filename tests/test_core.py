@@ -70,9 +70,19 @@ def test_signature_equals_integers():
 
 
 def test_greedy_is_not_transitive(spark):
-    nodes = spark.createDataFrame([(1,), (2,), (3,), (4,)], "id long")
-    edges = spark.createDataFrame([(2, 2, 1, 1), (3, 3, 2, 2)], "id long, ord long, other long, other_ord long")
-    assert {r.id: r.keep for r in dedup.resolve(nodes, edges).collect()} == {1: True, 2: False, 3: True, 4: True}
+    keyed = spark.createDataFrame([(1, 1, 0, "a"), (2, 2, 0, "a"), (2, 2, 1, "b"), (3, 3, 1, "b"), (4, 4, 0, "z")], "id long, ord long, band int, key string")
+    assert {r.id: r.keep for r in dedup.settle(keyed).collect()} == {1: True, 2: False, 3: True, 4: True}
+
+
+def test_greedy_equals_sequential_on_random_bands(spark):
+    rng = random.Random(4)
+    rows = [(i, i, band, str(rng.choice((0, rng.randrange(40))))) for i in range(250) for band in range(3)]
+    seen, want = set(), {}
+    for i in range(250):
+        own = {(b, k) for j, _, b, k in rows if j == i}
+        want[i] = not own & seen
+        seen |= own if want[i] else set()
+    assert {r.id: r.keep for r in dedup.settle(spark.createDataFrame(rows, "id long, ord long, band int, key string")).collect()} == want
 
 
 def test_near_dedup_equals_sequential(spark):
