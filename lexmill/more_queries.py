@@ -318,7 +318,7 @@ m AS (SELECT doc_id, input_ids, labels::INTEGER[] AS labels FROM l WHERE len(lis
 def _masked(spark: SparkSession, d: str) -> DataFrame:
     ids = F.transform(M.words(F.col("text")), lambda w: (F.length(w) % 10).cast("int"))
     # the ids are a column of their own: in a lambda the text would be taken apart for each of them
-    held = table(spark, d, "documents").select("doc_id", ids.alias("ids"))
+    held = sinks.staged(table(spark, d, "documents").select("doc_id", ids.alias("ids")))
     out = held.select("doc_id", sft.masked(F.col("ids"), F.array(F.lit(3), F.lit(2)), 64).alias("m"))
     return out.filter("m is not null").select("doc_id", "m.input_ids", "m.labels")
 
@@ -414,17 +414,6 @@ def plain_text_there_and_back(spark, d):
     return readers.read_source(spark, "cc100", path).groupBy(F.md5(F.col("text").cast("binary")).alias("digest")).agg(F.count_distinct("id").alias("n"))
 
 
-@query("SELECT 'ws_' || doc_id::VARCHAR AS id, 'wikisource' AS source, 'corps ' || lang AS text, 'T' || doc_id::VARCHAR AS title FROM documents WHERE doc_id % 4 IN (0, 3)")
-def wiki_dump_there_and_back(spark, d):
-    """Of four pages one is of another namespace and one a redirect."""
-    path = _folder(spark, "dump")
-    k = F.col("doc_id") % 4
-    body = F.when(k == 2, "#REDIRECT [[x]]").otherwise(F.concat(F.lit("corps "), F.col("lang")))
-    page = F.format_string("<page><title>T%d</title><ns>%d</ns><id>%d</id><revision><id>9</id><text>%s</text></revision></page>", F.col("doc_id"), (k == 1).cast("long"), F.col("doc_id"), body)
-    table(spark, d, "documents").select(page).write.text(path)
-    return readers.read_source(spark, "wikisource", path)
-
-
 @query(f"WITH {_GOOD} SELECT sum(n_tok)::BIGINT AS tokens, count(*) AS rows FROM g")
 def token_sink(spark, d):
     stream = _stream(spark, d)
@@ -466,9 +455,10 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("doc_id").alias("ord"), "source", "text")
 
 
-@query(f"WITH {_SHINGLED} SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id")
+@query(f"WITH {_SHINGLED} SELECT doc_id, count(g) AS n FROM documents LEFT JOIN s USING (doc_id) GROUP BY doc_id")
 def shingle_counts(spark, d):
-    return dedup.with_shingles(table(spark, d, "documents"), T.windows(F.col("text"))).select("doc_id", F.size("shingles").cast("long").alias("n")).filter("n > 0")
+    views = sinks.staged(table(spark, d, "documents").select("doc_id", T.windows(F.col("text")).alias("view")))
+    return views.select("doc_id", F.size(dedup.shingles(F.col("view"))).cast("long").alias("n"))
 
 
 @query(f"WITH {_SIGNED} SELECT doc_id, array_to_string(signature, ',') AS signature FROM sig")

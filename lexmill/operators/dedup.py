@@ -23,13 +23,14 @@ MERSENNE = (1 << 61) - 1
 EMPTY = 0xFFFFFFFF
 
 
-def with_shingles(df: DataFrame, text: Column, k: int = 5, name: str = "shingles") -> DataFrame:
-    """With the distinct k-character shingles of a text, in the order in which they come; none of a shorter one."""
-    chars = F.col("_chars")  # a column of its own, as a lambda would take the text apart for each shingle
-    n = F.size(chars)
-    own = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(chars, i, k), "")))
-    held = df.withColumn("_chars", F.filter(F.split(text, ""), lambda c: c != ""))
-    return held.withColumn(name, F.when(n >= k, own).otherwise(F.array().cast("array<string>"))).drop("_chars")
+def shingles(text: Column, k: int = 5) -> Column:
+    """Distinct k-character shingles, in the order in which they come; none of a shorter text."""
+    chars = F.filter(F.split(text, ""), lambda c: c != "")
+    grams = chars
+    # characters are shifted against each other, so the text is taken apart k times and not once for each shingle
+    for j in range(1, k):
+        grams = F.zip_with(grams, F.slice(chars, F.lit(j + 1), F.lit(1 << 30)), lambda a, b: F.when(b.isNotNull(), F.concat(a, b)))
+    return F.array_distinct(F.filter(grams, lambda g: g.isNotNull()))
 
 
 def dedup_stats(docs: DataFrame, kept: DataFrame, low: Column) -> DataFrame:
