@@ -94,10 +94,16 @@ def first_mismatch(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def locate_in_shards(positions: DataFrame, shards: DataFrame) -> DataFrame:
-    """(pos, file, offset): the shard that holds a token position; shards are few, and broadcast."""
-    w = Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    spans = shards.withColumn("_hi", F.sum("tokens").over(w)).withColumn("_lo", F.col("_hi") - F.col("tokens"))
-    return positions.join(F.broadcast(spans), (F.col("pos") >= F.col("_lo")) & (F.col("pos") < F.col("_hi"))).select("pos", "file", (F.col("pos") - F.col("_lo")).alias("offset"))
+    """(pos, file, offset): the shard that holds a token position.
+
+    Shards are cut to cells of their mean size, two for each shard at most on average, so the join is by equality of cells.
+    """
+    spans = with_running(shards.select("file", "tokens", "ord").filter("tokens > 0"), [F.col("ord")], F.col("tokens"), "_hi").withColumn("_lo", F.col("_hi") - F.col("tokens"))
+    total, n = spans.agg(F.coalesce(F.max("_hi"), F.lit(1)), F.count("*")).first()
+    cell = max(1, total // max(1, n))
+    cells = spans.withColumn("_cell", F.explode(F.sequence(F.expr(f"_lo div {cell}"), F.expr(f"(_hi - 1) div {cell}"))))
+    met = positions.select("pos", F.expr(f"pos div {cell}").alias("_cell")).join(cells, "_cell").filter((F.col("pos") >= F.col("_lo")) & (F.col("pos") < F.col("_hi")))
+    return met.select("pos", "file", (F.col("pos") - F.col("_lo")).alias("offset"))
 
 
 def source_totals(docs: DataFrame, editorial: tuple[str, ...] = ()) -> DataFrame:

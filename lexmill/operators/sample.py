@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ranks import with_rank, with_running
@@ -42,11 +42,20 @@ def per_group(df: DataFrame, key: str, group: str, k: int, seed: int = 42) -> Da
 
 
 def weighted_picks(items: DataFrame, draws: DataFrame, weight: str, order: str, u: str) -> DataFrame:
-    """For each draw u in [0, 1) the first item whose running share of the weights reaches it."""
-    running = F.sum(weight).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum(weight).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    spans = items.withColumn("_hi", running / total).withColumn("_lo", F.lag("_hi", 1, -1.0).over(Window.orderBy(order)))
-    return draws.join(F.broadcast(spans), (F.col(u) <= F.col("_hi")) & (F.col(u) > F.col("_lo"))).drop("_hi", "_lo")
+    """For each draw u in [0, 1) the first item whose running share of the weights reaches it.
+
+    Shares are cut to as many cells as there are items, so the join is by equality of cells.
+    """
+    total, n = items.agg(F.sum(weight), F.count("*")).first()
+    n = max(1, n)
+    summed = with_running(items, [F.col(order)], F.coalesce(F.col(weight), F.lit(0)), "_hi")
+    spans = with_rank(summed.withColumn("_hi", F.col("_hi") / F.lit(total)), [F.col(order)], "_n")
+    before = spans.select((F.col("_n") + 1).alias("_n"), F.col("_hi").alias("_lo"))
+    spans = spans.join(before, "_n", "left").withColumn("_lo", F.coalesce("_lo", F.lit(-1.0)))
+    cell = lambda x: F.least(F.floor(x * n), F.lit(n - 1))
+    cells = spans.withColumn("_cell", F.explode(F.sequence(cell(F.greatest("_lo", F.lit(0.0))), cell(F.col("_hi")))))
+    met = draws.withColumn("_cell", cell(F.col(u))).join(cells, "_cell")
+    return met.filter((F.col(u) <= F.col("_hi")) & (F.col(u) > F.col("_lo"))).drop("_hi", "_lo", "_cell", "_n")
 
 
 def split_rows(df: DataFrame, key: str, share: float = 0.02, seed: int = 42) -> DataFrame:

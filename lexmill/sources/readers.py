@@ -9,11 +9,12 @@ import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SOURCE_ORDER, TEXT_COLUMNS
 from ..functions.text import strip
+from ..operators.ranks import with_running
 
 
 def text_column(df: DataFrame, preset: str = "corpus") -> str:
@@ -82,8 +83,8 @@ def read_blank_separated(spark: SparkSession, path: str, source: str = "cc100")
 
 def paragraphs(lines: DataFrame) -> DataFrame:
     """(doc, text) of lines (line_no, line): the same rule on lines that are rows already."""
-    block = F.sum((strip(F.col("line")) == "").cast("int")).over(Window.orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0))
-    own = lines.withColumn("_b", block).filter(strip(F.col("line")) != "")
+    blank = (strip(F.col("line")) == "").cast("int")
+    own = with_running(lines.select("line_no", "line"), [F.col("line_no")], blank, "_b").filter(strip(F.col("line")) != "")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda s: s["line"]), "\n")
     return own.groupBy("_b").agg(F.min("line_no").alias("doc"), joined.alias("text")).drop("_b")
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 def staging_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset; intermediate tables need a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lexmill-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
