@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset."""
+    """``spark.checkpoint.dir`` of the session; where it is unset, a temporary folder in local mode and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset; intermediate tables need a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lexmill-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
