@@ -45,6 +45,7 @@ class MinHashParams:
     side: int = 16  #: sub-keys in each of the two collections
     rows: int = 3  #: minimum hashes in a sub-key
     seed: int = 20_240_601
+    piece: int = 1024  #: about as many of a pivot's members go through one task together
 
 
 def _multipliers(p: MinHashParams) -> np.ndarray:
@@ -117,19 +118,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, p: MinHashParams) -> DataFrame:
 
 
 def _deltas(tables: DataFrame, roots: DataFrame, sets: DataFrame, p: MinHashParams, ws: Workspace) -> DataFrame:
-    """(a, b, na, nb, ra, rb, d, linked): members of the buckets that aren't settled, with what sets them apart from their pivot b.
+    """(a, b, size, piece, na, nb, ra, rb, d, linked): members of the buckets that aren't settled, with what sets them apart from their pivot b.
 
     A bucket is settled if all its members are in one component.  The pivot of
     another is the smallest root of those of its members that are linked to
-    anything, or else its smallest id.
+    anything, or else its smallest id.  A pivot of many members meets them in
+    pieces of about ``p.piece``, and so does all that is known of it, so that no
+    task has all of them.
     """
     placed = tables.join(roots, tables["rep"] == roots["node"], "left").select("t", F.col("rep").alias("a"), "root", F.coalesce("root", "rep").alias("ra"))
     open_ = placed.groupBy("t").agg(F.min("ra").alias("lo"), F.max("ra").alias("hi"), F.coalesce(F.min("root"), F.min("a")).alias("b")).filter("lo < hi").select("t", "b")
-    pairs = placed.join(open_, "t").filter("a != b").select("a", "b", "ra").distinct()
-    pairs = pairs.join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left").withColumn("rb", F.coalesce("rb", "b"))
-    met = pairs.join(sets.select(F.col("id").alias("a"), F.col("hs").alias("ha")), "a").join(sets.select(F.col("id").alias("b"), F.col("hs").alias("hb")), "b")
+    pairs = ws.save(placed.join(open_, "t").filter("a != b").select("a", "b", "ra").distinct(), "pairs")
+    # members are counted by salts first: their number is needed to cut them, and they must not come together for it
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a", F.lit(1)), F.lit(1 + pairs.count() // p.piece)))
+    parts = salted.groupBy("b", "salt").agg(F.count("*").alias("c"))
+    sizes = parts.groupBy("b").agg(F.sum("c").alias("size"))
+    pieces = F.ceil(F.col("size") / p.piece)
+    members = salted.join(parts.join(sizes, "b").select("b", "salt", "size"), ["b", "salt"]).withColumn("piece", F.pmod(F.xxhash64("a"), pieces)).drop("salt")
+    known = sizes.join(sets.select(F.col("id").alias("b"), F.col("hs").alias("hb")), "b").join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+    pivots = known.select("b", "hb", F.coalesce("rb", "b").alias("rb"), F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("piece"))
+    met = members.join(sets.select(F.col("id").alias("a"), F.col("hs").alias("ha")), "a").join(pivots, ["b", "piece"])
     delta = F.array_union(F.array_except("ha", "hb"), F.array_except("hb", "ha"))
-    out = met.select("a", "b", F.size("ha").alias("na"), F.size("hb").alias("nb"), "ra", "rb", delta.alias("d"))
+    out = met.select("a", "b", "size", "piece", F.size("ha").alias("na"), F.size("hb").alias("nb"), "ra", "rb", delta.alias("d"))
     linked = F.lit(100 + p.percent) * F.size("d") <= F.lit(100 - p.percent) * (F.col("na") + F.col("nb"))
     return ws.save(out.withColumn("linked", linked), "deltas")
 
@@ -156,13 +166,13 @@ def _across(deltas: DataFrame, p: MinHashParams, ws: Workspace) -> DataFrame:
     """
     f = (100 - p.percent) / (100 + p.percent)
     # every so manieth member by hash, so that no pivot's members are gathered in one task
-    sizes = deltas.groupBy("b").agg(F.count("*").alias("size"))
-    some = deltas.select("a", "b", "d").join(sizes, "b").filter(F.pmod(F.xxhash64("a"), F.ceil(F.col("size") / 64)) == 0)
+    some = deltas.filter(F.pmod(F.xxhash64("a"), F.ceil(F.col("size") / 64)) == 0).select("a", "b", "d")
     votes = some.select("b", F.explode("d").alias("e")).groupBy("b", "e").agg(F.count("*").alias("c")).filter("c > 1")
     tier = F.when(F.col("c") * 2 > F.col("m"), 2).when(F.col("c") * 8 > F.col("m"), 1).otherwise(0)
     votes = votes.join(some.groupBy("b").agg(F.count("*").alias("m")), "b").withColumn("tier", tier)
     tiers = votes.groupBy("b").agg(*(F.collect_list(F.when(F.col("tier") == k, F.col("e"))).alias(f"t{k}") for k in range(3)))
-    ranked = deltas.join(tiers, "b", "left").withColumns({f"t{k}": F.coalesce(f"t{k}", F.array().cast("array<long>")) for k in range(3)})
+    tiers = tiers.join(deltas.select("b", "piece").distinct(), "b")
+    ranked = deltas.join(tiers, ["b", "piece"], "left").withColumns({f"t{k}": F.coalesce(f"t{k}", F.array().cast("array<long>")) for k in range(3)})
     rare = F.array_except("d", F.concat("t0", "t1", "t2"))
     order = F.concat(F.array_sort(rare), *(F.array_sort(F.array_intersect("d", f"t{k}")) for k in range(3)))
     x = F.size("d")
@@ -209,7 +219,7 @@ def near_duplicates(docs: DataFrame, p: MinHashParams = MinHashParams(), ws: Wor
     deltas = _deltas(tables, roots, sets, p, ws)
     pivots = deltas.filter("linked and ra != rb").select("a", "b")
     more = ws.save(_verified(_across(deltas, p, ws), sets, p).union(pivots), "edges2")
-    ws.drop("starred", "tables", "sets", "deltas", "prefixes")
+    ws.drop("starred", "tables", "sets", "pairs", "deltas", "prefixes")
     roots = components(good.union(more), ws, "cc2")
 
     named = reps.select("sa", "sb", "n", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("sa", "sb", "n", F.coalesce("root", "rep").alias("root"))

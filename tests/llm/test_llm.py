@@ -72,7 +72,8 @@ def test_dedup_of_nothing(odd):
     assert minhash_dedup.near_duplicates(odd.limit(0)).count() == 0
 
 
-def test_dedup_of_a_group_of_variants(spark):
+@pytest.mark.parametrize("piece", [1024, 8])
+def test_dedup_of_a_group_of_variants(spark, piece):
     """Links that only exist between members that aren't linked to their bucket's pivot."""
     rng = random.Random(5)
     base = [f"w{i}" for i in range(150)]
@@ -98,7 +99,7 @@ def test_dedup_of_a_group_of_variants(spark):
             a, b = sorted((find(i), find(j)))
             root[b] = a
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
-    assert {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(docs).collect()} == {i: find(i) for i in range(len(sets))}
+    assert {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(docs, minhash_dedup.MinHashParams(piece=piece)).collect()} == {i: find(i) for i in range(len(sets))}
 
 
 def test_urls():
