@@ -34,6 +34,28 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN fits USING (r)
 """
 
+#: A stretch of 13 tokens with two substitutions, or a short item with one, holds four equal tokens in a row: these give the diagonals.
+OP4 = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents),
+t AS MATERIALIZED (SELECT row_number() OVER () AS i, item_id, {_WORDS} AS ws FROM benchmark),
+dg AS MATERIALIZED (SELECT r, p, array_to_string(ws[p:p+3], ' ') AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 2)) AS p FROM d)),
+tg AS MATERIALIZED (SELECT i, p, array_to_string(ws[p:p+3], ' ') AS g FROM (SELECT i, ws, unnest(range(1, len(ws) - 2)) AS p FROM t WHERE len(ws) >= 8)),
+g AS MATERIALIZED (SELECT DISTINCT r, i, dg.p - tg.p AS diagonal FROM dg JOIN tg USING (g)),
+aligned AS (
+  SELECT r, i, diagonal, len(t.ws) AS n, d.ws AS dw, t.ws AS tw, unnest(range(greatest(0, diagonal), least(len(d.ws), diagonal + len(t.ws)))) AS pos FROM g JOIN d USING (r) JOIN t USING (i)),
+same AS MATERIALIZED (SELECT r, i, diagonal, n, pos, (dw[pos + 1] = tw[pos - diagonal + 1])::INTEGER AS s FROM aligned),
+starts AS (
+  SELECT *, CASE WHEN n < 13 THEN count(*) OVER (PARTITION BY r, i, diagonal) = n AND sum(1 - s) OVER (PARTITION BY r, i, diagonal) <= 1
+    ELSE count(*) OVER ahead = 13 AND sum(1 - s) OVER ahead <= 2 END AS good
+  FROM same WINDOW ahead AS (PARTITION BY r, i, diagonal ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+inside AS (SELECT *, bool_or(good) OVER (PARTITION BY r, i, diagonal ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS covers FROM starts),
+found AS (
+  SELECT r, i, diagonal, min(pos) AS doc_start, max(pos) + 1 AS doc_end, count(*) AS covered, sum(s) AS matched FROM inside WHERE covers GROUP BY r, i, diagonal
+  UNION ALL SELECT r, i, 0, 0, len(t.ws), len(t.ws), len(t.ws) FROM t JOIN d ON d.ws = t.ws WHERE len(t.ws) BETWEEN 1 AND 7)
+SELECT doc_id, item_id, doc_start::BIGINT AS doc_start, doc_end::BIGINT AS doc_end, covered::BIGINT AS covered, matched::BIGINT AS matched
+FROM (SELECT *, row_number() OVER (PARTITION BY r, i ORDER BY covered DESC, matched DESC, doc_start, diagonal) AS k FROM found) JOIN d USING (r) JOIN t USING (i) WHERE k = 1
+"""
+
 OP5 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
@@ -45,6 +67,30 @@ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score D
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+#: Texts as hexadecimal digits, two for each byte.
+OP6 = """
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+long AS MATERIALIZED (SELECT r, s, md5(substr(x, 2 * s + 1, 800)) AS h FROM (SELECT r, x, unnest(range(0, len(x) // 2 - 399)) AS s FROM d)),
+again AS (SELECT r, s FROM long SEMI JOIN (SELECT h FROM long GROUP BY h HAVING count(*) > 1) USING (h)),
+cut AS (
+  SELECT r, min(s) AS b, max(s) + 400 AS e FROM (SELECT r, s, sum(apart) OVER (PARTITION BY r ORDER BY s) AS k
+    FROM (SELECT r, s, coalesce((s - lag(s) OVER (PARTITION BY r ORDER BY s) > 400)::INTEGER, 0) AS apart FROM again)) GROUP BY r, k),
+gone AS (
+  SELECT r, sum(e - b)::BIGINT AS n, count(*) AS spans, string_agg(substr(x, 2 * done + 1, 2 * (b - done)), '' ORDER BY b) || substr(any_value(x), 2 * max(e) + 1) AS kept
+  FROM (SELECT r, b, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY b), 0) AS done FROM cut) JOIN d USING (r) GROUP BY r),
+brief AS MATERIALIZED (SELECT r, s, md5(substr(x, 2 * s + 1, 512)) AS h FROM (SELECT r, x, unnest(range(0, len(x) // 2 - 255)) AS s FROM d)),
+shared AS (SELECT r, s FROM brief SEMI JOIN (SELECT h FROM brief GROUP BY h HAVING min(r) < max(r)) USING (h)),
+runs AS (
+  SELECT r, min(s) AS b, max(s) + 256 AS e FROM (SELECT r, s, sum(apart) OVER (PARTITION BY r ORDER BY s) AS k
+    FROM (SELECT r, s, coalesce((s - lag(s) OVER (PARTITION BY r ORDER BY s) > 256)::INTEGER, 0) AS apart FROM shared)) GROUP BY r, k),
+worded AS (
+  SELECT r, e - b AS n, len(regexp_extract_all(array_to_string(list_transform(regexp_extract_all(substr(x, 2 * b + 1, 2 * (e - b)), '..'), lambda c: CASE WHEN c IN ('20', '09', '0A', '0B', '0C', '0D') THEN ' ' ELSE 'x' END), ''), 'x+')) AS words
+  FROM runs JOIN d USING (r)),
+passages AS (SELECT r, sum(n)::BIGINT AS n, count(*) AS passages FROM worded WHERE words >= 50 GROUP BY r)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(gone.n, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256, coalesce(passages.n, 0) AS n_shared, coalesce(passages, 0) AS n_passages
+FROM d LEFT JOIN gone USING (r) LEFT JOIN passages USING (r)
+"""
+
 
 def _op7(rounds: int = 12, temper: float = 0.7, keep: float = 0.5, seed: int = 7) -> str:
     ctes = [
@@ -111,7 +157,9 @@ FROM m JOIN own USING (r) LEFT JOIN link ON link.conv_id = m.conv_id AND link.tu
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": OP1,
     "op2_url_filter": OP2,
+    "op4_decontaminate": OP4,
     "op5_topk_nra": OP5,
+    "op6_substring_dedup": OP6,
     "op7_mixing": _op7(),
     "op10_chat_threads": OP10,
 }
