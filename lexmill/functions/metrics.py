@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -77,10 +77,17 @@ def french_share(text: Column) -> Column:
     return common_share(letter_words(F.substring(text, 1, 2000), "a-zàâäéèêëîïôùûüçœæ"), COMMON_GATE, 20, None)
 
 
-def is_french(text: Column, threshold: Column | float) -> Column:
-    """Undecided texts count as French, as do short ones."""
+def is_french(text: Column, threshold: Column | float, detector: Callable[[Column], Column] | None = None, confidence: float = 0.75) -> Column:
+    """Short texts count as French, and so do undecided ones, unless a ``detector`` is sure of another language.
+
+    The detector makes a struct (lang, prob), or null, of a text's first 3000 characters.
+    """
     r = french_share(text)
-    return F.when((F.length(text) < 200) | r.isNull() | (r >= threshold), True).otherwise(r >= 0.01)
+    undecided = F.lit(True)
+    if detector is not None:
+        said = detector(F.substring(text, 1, 3000))
+        undecided = F.coalesce((said["lang"] == "fr") | (said["prob"] < confidence), F.lit(True))
+    return F.when((F.length(text) < 200) | (r >= threshold), True).when(r < 0.01, False).otherwise(undecided)
 
 
 def is_french_light(text: Column, threshold: Column | float) -> Column:

@@ -89,12 +89,16 @@ def windows(text: Column, size: int = 3000, cap: int = 100_000) -> Column:
 
 
 def split_lines(text: Column, least: int = 20, most: int = 4000) -> Column:
-    """Sentences as an array: paragraphs cut after ``.!?…``, short ones dropped, very long ones cut to ``most`` at a space where there is one."""
+    """Sentences as an array: paragraphs cut after ``.!?…``, short ones dropped, very long ones cut at the last space below ``most``, or else at ``most``.
+
+    Of a sentence that was cut only the last piece can be dropped as short.
+    """
     lines = F.split(F.regexp_replace(text, "\r", ""), r"\n+|(?<=[.!?…])\s+")
     kept = F.filter(F.transform(lines, strip), lambda x: F.length(x) >= least)
-    piece = r"(?s).{1,%d}(?=\s|$)|.{1,%d}" % (most, most)
-    wrapped = F.flatten(F.transform(kept, lambda x: F.when(F.length(x) <= most, F.array(x)).otherwise(F.transform(F.regexp_extract_all(x, F.lit(piece), F.lit(0)), strip))))
-    return F.filter(wrapped, lambda x: F.length(x) >= least)
+    piece = r"(?s)%s*+(.{1,%d}\z|.{1,%d}(?= )|.{1,%d})" % (SPACE, most, most - 1, most)
+    cut = lambda x: F.transform(F.regexp_extract_all(x, F.lit(piece), F.lit(1)), strip)
+    whole = lambda ps: F.when(F.length(F.element_at(ps, -1)) >= least, ps).otherwise(F.slice(ps, F.lit(1), F.size(ps) - 1))
+    return F.flatten(F.transform(kept, lambda x: F.when(F.length(x) <= most, F.array(x)).otherwise(whole(cut(x)))))
 
 
 def chatml(instruction: Column, answer: Column, system: Column | None = None) -> Column:

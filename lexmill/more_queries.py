@@ -437,14 +437,6 @@ def paragraphs_of_lines(spark, d):
     return readers.paragraphs(lines).select("doc", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
-@query(rf"""WITH w AS (SELECT {_letter_words("text", "a-zà-ÿ")} AS ws FROM documents),
-g AS (SELECT unnest(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i+2], ' '))) AS gram FROM w)
-SELECT gram, count(*) AS n FROM g GROUP BY gram ORDER BY n DESC, gram LIMIT 50""")
-def whole_text_trigrams(spark, d):
-    """As ``common_trigrams``, but of every trigram of a text and not its first 50."""
-    return profile.top_trigrams(table(spark, d, "documents"), None, per_doc=None)
-
-
 # --- near duplicates, piece by piece ----------------------------------------
 #: As the greedy query, but for the hash and the number of permutations, which SQL can follow.
 _MD5 = MinHashParams(permutations=16, bands=4, hash="md5")

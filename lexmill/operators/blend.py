@@ -67,14 +67,17 @@ def flat_positions(ordered: DataFrame) -> DataFrame:
     return with_running(ordered, [F.col("place")], F.col("n_tok"), "_sum").withColumn("first_pos", F.col("_sum") - F.col("n_tok")).drop("_sum")
 
 
-def windows_of(tokens: DataFrame, n: int, ctx: int, stride: int | None = None) -> DataFrame:
+def windows_of(tokens: DataFrame, n: int, ctx: int, stride: int | None = None, start: int = 0) -> DataFrame:
     """(k, x, y): windows of ctx + 1 tokens of a stream (pos, token) of n tokens, y one ahead of x.
 
-    Every token goes to the windows that hold it, so nothing is windowed over the stream.
+    Every token goes to the windows that hold it, so nothing is windowed over the stream.  An interrupted
+    run goes on at window ``start``, taken modulo their number; tokens of earlier windows alone aren't read.
     """
     stride = stride or ctx
     count = max(0, (n - 1 - ctx) // stride + 1) if n > ctx else 0
-    lo = F.greatest(F.lit(0), F.ceil((F.col("pos") - ctx) / stride)).cast("long")
+    start %= max(count, 1)
+    tokens = tokens.filter(F.col("pos") >= start * stride)
+    lo = F.greatest(F.lit(start), F.ceil((F.col("pos") - ctx) / stride)).cast("long")
     hi = F.least(F.lit(count - 1), F.floor(F.col("pos") / stride)).cast("long")
     dealt = tokens.filter(F.lit(count) > 0).filter(lo <= hi).select(F.explode(F.sequence(lo, hi)).alias("k"), "pos", "token")
     seq = F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda s: s["token"])

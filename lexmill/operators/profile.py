@@ -25,7 +25,8 @@ def field_counts(lines: DataFrame, raw: str = "raw") -> DataFrame:
     return fields.groupBy("field", F.schema_of_variant("value").alias("type")).agg(F.count("*").alias("n"))
 
 
-def top_trigrams(docs: DataFrame, group: str | None = "source", text: str = "text", k: int = 50, per_doc: int | None = 50) -> DataFrame:
+def top_trigrams(docs: DataFrame, group: str | None = "source", text: str = "text", k: int = 50, per_doc: int | None = None) -> DataFrame:
+    """The ``k`` commonest trigrams, of whole texts or of the first ``per_doc`` of each."""
     keys = [group] if group else []
     counts = docs.select(*keys, F.explode(M.trigrams(F.col(text), most=per_doc)).alias("gram")).groupBy(*keys, "gram").agg(F.count("*").alias("n"))
     order = [F.desc("n"), F.col("gram")]

@@ -7,6 +7,7 @@ import lzma
 import tarfile
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,23 +55,66 @@ def read_wikisource(spark: SparkSession, path: str) -> DataFrame:
     return read_wiki(spark, path, "wikisource", "ws")
 
 
+def _dealt(rows: Iterator[tuple], schema: pa.Schema, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows whose last value is a text, in batches of about ``limit`` characters."""
+    own: list[tuple] = []
+    chars = 0
+    for row in rows:
+        own.append(row)
+        chars += len(row[-1])
+        if chars >= limit:
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in own], schema)
+            own, chars = [], 0
+    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in own], schema)
+
+
+def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    for batch in batches:
+        yield from zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True)
+
+
 def _unxz(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of each file: runs of lines that aren't blank; the file is decompressed as it is read."""
-    for batch in batches:
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+
+    def documents():
+        for path, content in _files(batches):
             raw = io.BytesIO(content)
-            lines = io.TextIOWrapper(lzma.open(raw) if path.endswith(".xz") else raw, encoding="utf-8", errors="replace")
             own: list[str] = []
-            n, out = 0, []
-            for line in [*lines, "\n"]:
+            n = 0
+            for line in chain(io.TextIOWrapper(lzma.open(raw) if path.endswith(".xz") else raw, encoding="utf-8", errors="replace"), ["\n"]):
                 if line.strip():
                     own.append(line.rstrip("\n"))
                 elif own:
                     n += 1
-                    out.append((path, n, "\n".join(own)))
+                    yield path, n, "\n".join(own)
                     own = []
-            cols = list(zip(*out, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.string()), strict=True)], names=["path", "n", "text"])
+
+    yield from _dealt(documents(), pa.schema([("path", pa.string()), ("n", pa.int64()), ("text", pa.string())]))
+
+
+def read_zstd_lines(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
+    """(path, line_no, line) of zstd files, lines from 1; of each file up to the line that reaches ``max_bytes`` decompressed bytes, that one included.
+
+    Frames with long windows and several frames in a file are read too; nothing behind the limit is decompressed.
+    """
+
+    def lines(batches):
+        import zstandard
+
+        def each():
+            for name, content in _files(batches):
+                read = 0
+                with zstandard.ZstdDecompressor(max_window_size=1 << 31).stream_reader(content, read_across_frames=True) as stream:
+                    for no, raw in enumerate(io.BufferedReader(stream, 1 << 20), 1):
+                        read += len(raw)
+                        yield name, no, raw.rstrip(b"\r\n").decode("utf-8", "replace")
+                        if max_bytes is not None and read >= max_bytes:
+                            break
+
+        yield from _dealt(each(), pa.schema([("path", pa.string()), ("line_no", pa.int64()), ("line", pa.string())]))
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return files.mapInArrow(lines, "path string, line_no long, line string")
 
 
 def read_blank_separated(spark: SparkSession, path: str, source: str = "cc100") -> DataFrame:
@@ -102,28 +146,28 @@ LEGAL_TAGS = ("CONTENU", "TEXTE", "BLOC_TEXTUEL", "NOTA")
 
 
 def _untar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for content in batch.column("content").to_pylist():
-            rows = []
+    def members():
+        for _, content in _files(batches):
             try:
                 with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
                     for member in tar:
+                        tar.members = []  # else all headers stay in memory
                         if member.isfile() and member.name.endswith(".xml"):
                             try:
                                 root = ET.fromstring(tar.extractfile(member).read())
                             except ET.ParseError:
                                 continue
                             parts = [el.text.strip() for tag in LEGAL_TAGS for el in root.iter(tag) if el.text and el.text.strip()]
-                            rows.append((member.name, "\n\n".join(parts)))
+                            yield member.name, "\n\n".join(parts)
             except (tarfile.TarError, EOFError, OSError):  # what was read before the break stays
                 pass
-            cols = list(zip(*rows, strict=True)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["member", "text"])
+
+    yield from _dealt(members(), pa.schema([("member", pa.string()), ("text", pa.string())]))
 
 
 def read_legal(spark: SparkSession, path: str, source: str = "legifrance", least: int = 100) -> DataFrame:
     """Tar archives of XML: the text of the legal elements, in the order of the tags."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
     docs = files.mapInArrow(_untar, "member string, text string").filter(F.length("text") >= least)
     return docs.select(F.concat(F.lit("legi_"), F.substring(F.md5(F.col("member").cast("binary")), 1, 12)).alias("id"), F.lit(source).alias("source"), "text")
 
@@ -177,3 +221,18 @@ def source_ranks(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """(source, source_rank): the known order, then the others by name."""
     known = [s for s in SOURCE_ORDER if s in names]
     return spark.createDataFrame(list(enumerate([*known, *sorted(set(names) - set(known))])), "source_rank int, source string").select("source", "source_rank")
+
+
+def discover(spark: SparkSession, root: str, suffix: str = "_cleaned.jsonl") -> list[tuple[str, str]]:
+    """(source, path) for each folder below ``root`` with an output: the one named as the folder, or else the first by name; in the known order, then by name."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {}
+    for folder in fs.listStatus(top):
+        if folder.isDirectory():
+            name = folder.getPath().getName()
+            outputs = {f.getPath().getName(): f.getPath().toString() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().endswith(suffix)}
+            if outputs:
+                found[name] = outputs.get(name + suffix) or outputs[min(outputs)]
+    known = [s for s in SOURCE_ORDER if s in found]
+    return [(s, found[s]) for s in [*known, *sorted(set(found) - set(known))]]

@@ -7,6 +7,7 @@ import tarfile
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from lexmill.config import MinHashParams
@@ -54,6 +55,20 @@ def test_split_lines(spark):
     assert got[:2] == ["Une phrase assez longue ici.", "Une autre phrase assez longue !"]
     assert all(20 <= len(x) <= 4000 for x in got) and "".join(got[2:]).count("mot") == 1500
 
+    assert one(spark, T.split_lines(F.col("t")), t="abcde " + "x" * 4500) == ["abcde", "x" * 4000, "x" * 500]
+    assert one(spark, T.split_lines(F.col("t")), t="x" * 4010) == ["x" * 4000]
+    assert [len(x) for x in one(spark, T.split_lines(F.col("t")), t="x" * 3999 + "  " + "y" * 4000 + " " + "z" * 30)] == [3999, 4000, 30]
+
+
+def test_language_detector(spark):
+    said = lambda lang, prob: lambda t: F.struct(F.lit(lang).alias("lang"), F.lit(prob).alias("prob"))
+    doubtful, foreign = "le " + "mot " * 60, "word " * 60
+    for text, detector, want in (
+        (doubtful, None, True), (doubtful, said("fr", 0.99), True), (doubtful, said("en", 0.99), False), (doubtful, said("en", 0.5), True), (doubtful, lambda t: F.lit(None).cast("struct<lang:string,prob:double>"), True),
+        (foreign, said("fr", 0.99), False), ("short", said("en", 0.99), True),
+    ):
+        assert one(spark, M.is_french(F.col("t"), 0.08, detector), t=text) is want
+
 
 def test_windows(spark):
     assert one(spark, T.windows(F.col("t")), t="  A  B ") == "a b"
@@ -188,6 +203,26 @@ def test_readers(spark, tmp_path):
         readers.read_source(spark, "mc4", "x")
 
 
+def test_zstd_lines_and_discovery(spark, tmp_path):
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z" / "a.zst").write_bytes(zstandard.compress("été\r\nb\n".encode()) + zstandard.compress(b"\nlast"))
+    got = readers.read_zstd_lines(spark, str(tmp_path / "z"))
+    assert sorted((r.line_no, r.line) for r in got.collect()) == [(1, "été"), (2, "b"), (3, ""), (4, "last")]
+    assert sorted(r.line_no for r in readers.read_zstd_lines(spark, str(tmp_path / "z"), max_bytes=8).collect()) == [1, 2]
+    for name in ("zeta/zeta_cleaned.jsonl", "hplt/b_cleaned.jsonl", "hplt/a_cleaned.jsonl", "wikipedia/a_cleaned.jsonl", "wikipedia/wikipedia_cleaned.jsonl", "alpha/x_cleaned.jsonl", "none/other.jsonl"):
+        (tmp_path / "s" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "s" / name).write_text("")
+    found = [(s, p.rpartition("/")[2]) for s, p in readers.discover(spark, str(tmp_path / "s"))]
+    assert found == [("wikipedia", "wikipedia_cleaned.jsonl"), ("hplt", "a_cleaned.jsonl"), ("alpha", "x_cleaned.jsonl"), ("zeta", "zeta_cleaned.jsonl")]
+
+
+def test_windows_go_on(spark):
+    df = spark.range(23).select(F.col("id").alias("pos"), F.col("id").alias("token"))
+    everything = {r.k: (r.x, r.y) for r in blend.windows_of(df, 23, 4, 3).collect()}
+    for start in (0, 2, len(everything), len(everything) + 1):
+        assert {r.k: (r.x, r.y) for r in blend.windows_of(df, 23, 4, 3, start).collect()} == {k: v for k, v in everything.items() if k >= start % len(everything)}
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", "é", "s")], "id string, text string, source string")
     assert sinks.write_jsonl(df, str(tmp_path / "o")) and not sinks.write_jsonl(df, str(tmp_path / "o"))
