@@ -9,7 +9,7 @@ from .config import BOILERPLATE_LINE, COMMON_GATE, DEFAULT_GATE, PREMIUM_SOURCES
 from .functions import metrics as M
 from .functions import text as T
 from .operators import dedup, gates, index, profile, sample, select, sft
-from .plans.corpus import quality_kept, quality_threshold
+from .plans.corpus import dedup_quality, quality_kept, quality_threshold
 from .queries import _FR, _N_TOK, _PAIRS, _SCORE, _SP, _count, _indexed, _letter_words, _lines, _order, _q, _strip, _uniform, _words, query, table
 from .sources import readers, sinks
 
@@ -496,3 +496,14 @@ def near_dup_kept(spark, d):
 def dedup_statistics(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source", "n_chars")
     return dedup.dedup_stats(docs, dedup.near_dedup(_documents(spark, d), _MD5), F.col("n_chars") < 300)
+
+
+@query(f"""WITH RECURSIVE big AS MATERIALIZED (SELECT * FROM documents WHERE length(text) >= 50),
+judged AS MATERIALIZED (WITH {_SCORE} SELECT doc_id, CASE WHEN {_NAMED} NOT IN {PREMIUM_SOURCES} THEN score END AS score FROM s WHERE length(text) >= 50),
+ranked AS (SELECT score, row_number() OVER (ORDER BY score) - 1 AS i, count(*) OVER () AS k FROM judged WHERE score IS NOT NULL),
+once AS MATERIALIZED (WITH RECURSIVE documents AS (SELECT * FROM big), {_GREEDY} SELECT doc_id, keep FROM kept)
+SELECT doc_id, keep AND (score IS NULL OR score >= (SELECT score FROM ranked WHERE i = least(floor(k * (1 - 0.85::DOUBLE)), k - 1))) AS keep, round(score, 6) AS score FROM judged JOIN once USING (doc_id)""")
+def dedup_quality_plan(spark, d):
+    """The whole plan of ``dedup_and_quality`` under sources that have parameters of their own."""
+    docs = named(spark, d).select(F.col("doc_id").alias("id"), F.col("doc_id").alias("ord"), "source", "text")
+    return dedup_quality(docs, _MD5).select(F.col("id").alias("doc_id"), "keep", F.round("score", 6).alias("score"))
