@@ -84,6 +84,53 @@ def test_signature_equals_integers():
     assert dedup.signature(x[:0], a, b).tolist() == [dedup.EMPTY] * 16
 
 
+def test_texts_are_signed_together(monkeypatch):
+    """A shingle that many texts have is hashed and permuted once, and the signatures are those of each text alone."""
+    rng = random.Random(5)
+    texts = ["", "abc", "abcde", "été ß ΣΑΣ", "\U0001f600" * 9] + ["".join(rng.choice("ab é漢") for _ in range(rng.randrange(300))) for _ in range(60)]
+    texts += ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(6000))] * 2  # too many letters for one word of bits
+    counts, hashed = [], dedup._hashed
+    monkeypatch.setattr(dedup, "_hashed", lambda own, n, kind: counts.append(n) or hashed(own, n, kind))
+    for p in (MinHashParams(), MinHashParams(permutations=16, bands=4, hash="md5")):
+        a, b = dedup.permutations(p)
+        want = [dedup.signature(dedup.base_hashes(t, p.shingle, p.hash), a, b).tolist() for t in texts]
+        counts.clear()
+        assert dedup.signatures(texts, p, a, b).tolist() == want
+        assert counts == [len({t[i : i + 5] for t in texts for i in range(len(t) - 4)})]
+        with monkeypatch.context() as m:
+            m.setattr(dedup, "TABLE", 500)
+            assert dedup.signatures(texts, p, a, b).tolist() == want
+
+
+def test_passes_equal_columns(spark):
+    """The view and the score of a Python string are those of the expressions."""
+    rng = random.Random(6)
+    odd = "\t\n\x0b\x1c\x1f\x85\u00a0\u1680\u2003\u2028\u202f\u3000\u200b\u180eabcÉÎŒœßİΣς_9²½٣漢\U0001f600e\u0301'-."
+    texts = ["", " ", "x", "ΟΔΟΣ ΟΔΟΣ", "le la les de du", "x" * 50_000, "le petit chat et la ville " * 900, "mot_1 le l'été de " * 40]
+    texts += ["".join(rng.choice(odd) for _ in range(n)) for n in (1, 5, 60, 700, 2500, 9100, 17_999, 18_001, 40_000, 110_000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    for r in docs.select("id", T.windows(F.col("text")).alias("w"), M.quality_score(F.col("text")).alias("s")).collect():
+        assert T.window_text(texts[r.id]) == r.w
+        assert M.quality_of(texts[r.id]) == pytest.approx(r.s, abs=1e-12)
+
+
+def test_texts_are_passed_once(spark, monkeypatch):
+    """The plan scores and signs in one pass; no expression scores a text again."""
+    from lexmill.functions.metrics import quality_score
+    from lexmill.plans import corpus
+
+    texts = ["Le chat de la maison dort sur le tapis rouge du salon %d." % i for i in range(30)] + ["zz " * 30, "Short.", None]
+    rows = [(i, i, ("wikipedia", "web", None)[i % 3], t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "id long, ord long, source string, text string")
+    want = {r.id: r.s for r in docs.filter("length(text) >= 50").select("id", F.when(F.col("source") == "web", quality_score(F.col("text"))).alias("s")).collect()}
+    kept = {r.id: r.keep for r in dedup.near_dedup(docs.filter("length(text) >= 50")).collect()}
+    monkeypatch.setattr(corpus, "quality_score", None)
+    got = {r.id: r for r in corpus.dedup_quality(docs).collect()}
+    assert {i: r.score for i, r in got.items()} == pytest.approx(want)
+    limit = sorted(s for s in want.values() if s is not None)[int(sum(s is not None for s in want.values()) * (1 - 0.85))]
+    assert {i: r.keep for i, r in got.items()} == {i: kept[i] and (s is None or got[i].score >= limit - 1e-12) for i, s in want.items()}
+
+
 def test_greedy_is_not_transitive(spark):
     keyed = spark.createDataFrame([(1, 1, 0, "a"), (2, 2, 0, "a"), (2, 2, 1, "b"), (3, 3, 1, "b"), (4, 4, 0, "z")], "id long, ord long, band int, key string")
     assert {r.id: r.keep for r in dedup.settle(keyed).collect()} == {1: True, 2: False, 3: True, 4: True}
