@@ -131,6 +131,14 @@ def test_texts_are_passed_once(spark, monkeypatch):
     assert {i: r.keep for i, r in got.items()} == {i: kept[i] and (s is None or got[i].score >= limit - 1e-12) for i, s in want.items()}
 
 
+def test_cheapest_of_equal_offers(spark):
+    """Of offers with one price and name the smallest items are taken, wherever they stand."""
+    rows = [(i, "blue gear", 900.0) for i in range(60, 0, -1)] + [(0, "blue gear", 901.0), (61, "blue anvil", 900.0)]
+    for n in (1, 7):
+        offers = spark.createDataFrame(rows, "item long, name string, price double").repartition(n)
+        assert [r.item for r in select.cheapest(offers, "Blu", 1500.0, 5).collect()] == [61, 1, 2, 3, 4]
+
+
 def test_greedy_is_not_transitive(spark):
     keyed = spark.createDataFrame([(1, 1, 0, "a"), (2, 2, 0, "a"), (2, 2, 1, "b"), (3, 3, 1, "b"), (4, 4, 0, "z")], "id long, ord long, band int, key string")
     assert {r.id: r.keep for r in dedup.settle(keyed).collect()} == {1: True, 2: False, 3: True, 4: True}
