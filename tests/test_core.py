@@ -17,6 +17,8 @@ from lexmill.operators import blend, dedup, index, ranks, select, sft
 from lexmill.sources import readers, sinks
 from lexmill.streaming import incremental
 
+from .conftest import same
+
 
 def one(spark, expr, **cols):
     df = spark.createDataFrame([tuple(cols.values())], ", ".join(f"{k} {'string' if isinstance(v, str) else 'array<int>' if isinstance(v, list) else 'long'}" for k, v in cols.items()))
@@ -139,6 +141,19 @@ def test_cheapest_of_equal_offers(spark):
         assert [r.item for r in select.cheapest(offers, "Blu", 1500.0, 5).collect()] == [61, 1, 2, 3, 4]
 
 
+def test_length_profile_equals_sql_on_odd_texts(spark, tmp_path):
+    import duckdb
+
+    from lexmill.queries import ORACLES, QUERIES
+
+    texts = ["", None, "a\x0b" * 30, "a\r\n\t\f" * 30, "a\u00a0" * 30, "a" * 85 + "#" * 15, "a" * 1700 + "#" * 300 + "#" * 900, "#" * 60, "\U0001f600a" * 40]
+    rows = [(i, t, s) for i, t in enumerate(texts) for s in (f"s{i}", "all", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    same(QUERIES["length_profile"](spark, str(tmp_path)), con, ORACLES["length_profile"])
+
+
 def test_greedy_is_not_transitive(spark):
     keyed = spark.createDataFrame([(1, 1, 0, "a"), (2, 2, 0, "a"), (2, 2, 1, "b"), (3, 3, 1, "b"), (4, 4, 0, "z")], "id long, ord long, band int, key string")
     assert {r.id: r.keep for r in dedup.settle(keyed).collect()} == {1: True, 2: False, 3: True, 4: True}
