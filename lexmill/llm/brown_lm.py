@@ -20,7 +20,9 @@ Counts cover every training text.  Words are told apart by their 64-bit hash.
   class bigrams as they stand.  Words of a round move together, so a round that
   doesn't raise the likelihood is taken back and is the last.  The driver gets the
   vocabulary's hashes and classes, and class bigrams; the executors get one byte for
-  each of its words.  log10 p(w | v) = log10 p(class w | class v) +
+  each of its words.  What the driver gets comes as Arrow columns and never as rows,
+  and each broadcast but the last is destroyed as soon as its table has been written
+  or fetched.  log10 p(w | v) = log10 p(class w | class v) +
   log10 p(w | class w); transitions are smoothed towards the class shares, and
   emissions by one count for each word of the class and one for unseen words.
 
@@ -36,11 +38,13 @@ every count is 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .textbytes import Words, as_long, chunks, mix, words_of
@@ -80,6 +84,22 @@ def suffix_unit(w: Words, p: LmParams) -> np.ndarray:
     return (mix(key) % np.uint64(p.suffix_units)).astype(np.int64)
 
 
+def columns_of(df: DataFrame) -> dict[str, np.ndarray]:
+    """All of a table without nulls, for the driver: a row as a Python object takes some hundreds of bytes."""
+    got = df.toArrow()
+    return {k: got.column(k).to_numpy() for k in got.column_names}
+
+
+@contextmanager
+def lent(spark: SparkSession, value) -> Iterator[Broadcast]:
+    """A broadcast for tables that are written or fetched in the block; the driver and the executors keep nothing of it."""
+    shared = spark.sparkContext.broadcast(value)
+    try:
+        yield shared
+    finally:
+        shared.destroy()
+
+
 def _summed(h: np.ndarray, unit: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.argsort(h, kind="stable")
     h, unit, c = h[order], unit[order], c[order]
@@ -229,7 +249,7 @@ def _contexts(shared, core: int, p: LmParams):
     """Sparse counts of the words in batches: (word, place in its row, c); classes after it, classes before it, and itself after itself."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cls, units = shared.value
+        cls, units, _ = shared.value
         side = p.classes + 1
         width = 2 * side + 1
         held: list[np.ndarray] = []
@@ -331,7 +351,7 @@ def _mover(shared):
             starts = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))[::2048]
             for a, b in zip(starts, np.append(starts[1:], len(cols[0])), strict=True):
                 words, to = best_classes(*(x[a:b] for x in cols), cls, g)
-                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(to.astype(np.int64))], names=["word", "cls"])
+                yield pa.RecordBatch.from_arrays([pa.array(words.astype(np.int32)), pa.array(to.astype(np.int32))], names=["word", "cls"])
 
         for batch in batches:
             cols = [np.concatenate([x, batch.column(k).to_numpy().astype(np.int64)]) for x, k in zip(rest, ("word", "slot", "c"), strict=True)]
@@ -449,15 +469,19 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame, p: LmParams) -> Vocabulary:
     """The ``own_units`` commonest words and all that occur ``least`` times; the former come first, and all in segments by count."""
-    cols = ["h", "unit", "c"]
-    common = counts.orderBy(F.desc("c"), "h").limit(p.own_units).select(*cols)
-    rows = counts.filter(F.col("c") >= p.least).select(*cols).unionAll(common).toPandas().drop_duplicates("h").sort_values(["c", "h"], ascending=[False, True])
-    h, unit, c = rows["h"].to_numpy(np.int64).view(np.uint64), rows["unit"].to_numpy(np.int64), rows["c"].to_numpy(np.int64)
+    cols = [F.col("h"), F.col("unit").cast("int").alias("unit"), F.col("c")]
+    # those that occur less often are no part of the others
+    common = counts.orderBy(F.desc("c"), "h").limit(p.own_units).filter(F.col("c") < p.least)
+    got = columns_of(counts.filter(F.col("c") >= p.least).unionAll(common).select(*cols))
+    h, c = got["h"], got["c"]
     core = min(p.own_units, len(h))
     edges = [0, *([core] if 0 < core < len(h) else []), *range(core + p.segment, len(h), p.segment), len(h)]
     segments = [(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True) if b > a]
-    order = np.concatenate([np.zeros(0, np.int64), *(a + np.argsort(h[a:b], kind="stable") for a, b in segments)]).astype(np.int64)
-    return Vocabulary(h[order], unit[order], c[order], segments, core)
+    order = np.lexsort((h, -c))
+    h = h.view(np.uint64)
+    for a, b in segments:
+        order[a:b] = order[a:b][np.argsort(h[order[a:b]], kind="stable")]
+    return Vocabulary(h[order], got["unit"][order], c[order], segments, core)
 
 
 def coded(docs: DataFrame, v: Vocabulary, ws: Workspace, p: LmParams) -> DataFrame:
@@ -468,14 +492,14 @@ def coded(docs: DataFrame, v: Vocabulary, ws: Workspace, p: LmParams) -> DataFra
     now = None
     for k, (a, b) in enumerate(parts):
         order = np.argsort(v.hash[a:b], kind="stable")
-        place = a + order
-        shared = spark.sparkContext.broadcast((v.hash[place], np.log10(v.count[place] + 1.0), place))
-        if now is None:
-            rows = docs.withColumns({"rid": F.monotonically_increasing_id(), "train": ~held_out(F.col("doc_id"), p)}).select("rid", "doc_id", "train", "text")
-            made = rows.mapInArrow(_coder(shared, p), _CODED)
-        else:
-            made = now.mapInArrow(_recoder(shared), _CODED)
-        now = ws.save(made, f"coded-{k}", "zstd")
+        place = (a + order).astype(np.int32)
+        with lent(spark, (v.hash[place], np.log10(v.count[place] + 1.0), place)) as shared:
+            if now is None:
+                rows = docs.withColumns({"rid": F.monotonically_increasing_id(), "train": ~held_out(F.col("doc_id"), p)}).select("rid", "doc_id", "train", "text")
+                made = rows.mapInArrow(_coder(shared, p), _CODED)
+            else:
+                made = now.mapInArrow(_recoder(shared), _CODED)
+            now = ws.save(made, f"coded-{k}", "zstd")
         if k:
             ws.drop(f"coded-{k - 1}")
     return now
@@ -484,7 +508,6 @@ def coded(docs: DataFrame, v: Vocabulary, ws: Workspace, p: LmParams) -> DataFra
 def learn(docs: DataFrame, ws: Workspace, p: LmParams = LmParams()) -> tuple[Model, DataFrame, DataFrame]:
     """The model, the coded texts, and the table (h, c) of the words beyond its vocabulary."""
     spark = docs.sparkSession
-    cast = spark.sparkContext.broadcast
     training = docs.filter(~held_out(F.col("doc_id"), p)).select("text")
     counted = training.mapInArrow(_counter(p), "h long, unit long, c long").groupBy("h").agg(F.min("unit").alias("unit"), F.sum("c").alias("c"))
     counts = ws.save(counted, "counts")
@@ -495,28 +518,30 @@ def learn(docs: DataFrame, ws: Workspace, p: LmParams = LmParams()) -> tuple[Mod
     codes = texts.filter("train").select("codes")
 
     def bigrams(kind: np.ndarray, k: int) -> np.ndarray:
-        cells = codes.mapInArrow(_pairer(cast((kind, p.suffix_units)), k), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
+        with lent(spark, (kind, p.suffix_units)) as shared:
+            cells = columns_of(codes.mapInArrow(_pairer(shared, k), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")))
         out = np.zeros((k + 1) ** 2, dtype=np.int64)
-        out[cells["cell"].to_numpy(np.int64)] = cells["c"].to_numpy(np.int64)
+        out[cells["cell"]] = cells["c"]
         return out.reshape(k + 1, k + 1)
 
     # the first exchange: the commonest words, and the spelling units for all others
     spelling = np.arange(p.suffix_units)
-    n = bigrams(np.concatenate([p.own_units + spelling, np.arange(v.core), p.own_units + v.unit[v.core :]]), p.units)
+    n = bigrams(np.concatenate([p.own_units + spelling, np.arange(v.core), p.own_units + v.unit[v.core :]], dtype=np.int32, casting="same_kind"), p.units)
     first = exchange(n[:-1, :-1], p)
-    unit_cls = first[p.own_units :]
+    unit_cls = first[p.own_units :].astype(np.uint8 if p.classes <= 256 else np.int32)
     own_cls = unit_cls[v.unit]
     own_cls[: v.core] = first[: v.core]
-    cls = np.concatenate([unit_cls, own_cls]).astype(np.uint8 if p.classes <= 256 else np.int32)
+    cls = np.concatenate([unit_cls, own_cls])
     hot = np.eye(p.classes + 1, dtype=np.int64)[np.append(first, p.classes)]
     g = (hot.T @ n @ hot).astype(float)
     for _ in range(p.rounds if len(v.hash) > v.core else 0):
-        table = codes.mapInArrow(_contexts(cast((cls, p.suffix_units)), v.core, p), "word long, slot short, c int")
-        moves = table.repartition("word").sortWithinPartitions("word", "slot").mapInArrow(_mover(cast((cls, p.suffix_units, g))), "word long, cls long").toPandas()
-        if not len(moves):
+        with lent(spark, (cls, p.suffix_units, g)) as shared:
+            table = codes.mapInArrow(_contexts(shared, v.core, p), "word long, slot short, c int")
+            moves = columns_of(table.repartition("word").sortWithinPartitions("word", "slot").mapInArrow(_mover(shared), "word int, cls int"))
+        if not len(moves["word"]):
             break
         new = cls.copy()
-        new[p.suffix_units + moves["word"].to_numpy(np.int64)] = moves["cls"].to_numpy(np.int64)
+        new[p.suffix_units + moves["word"]] = moves["cls"]
         now = bigrams(new, p.classes).astype(float)
         if likelihood(now) <= likelihood(g):
             break
@@ -528,7 +553,7 @@ def learn(docs: DataFrame, ws: Workspace, p: LmParams = LmParams()) -> tuple[Mod
     for r in counts.groupBy("unit").agg(F.count("*").alias("n")).collect():
         kinds_rare[r.unit] = r.n
     kinds_rare -= np.bincount(v.unit, minlength=p.suffix_units)
-    kinds = np.bincount(cls, np.concatenate([kinds_rare, np.ones(len(v.hash))]), p.classes)
+    kinds = np.bincount(cls[: p.suffix_units], kinds_rare, p.classes) + np.bincount(cls[p.suffix_units :], minlength=p.classes)
     room = np.append(np.log10(g.sum(0)[:-1] + kinds + 1), 0.0)
     model = Model(v.hash, cls[p.suffix_units :], cls[: p.suffix_units], move, room, ends, sums.c + ends, sums.n + (ends > 0))
     # words of the vocabulary are no longer open, so the whole table may be joined

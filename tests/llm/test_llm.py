@@ -6,8 +6,10 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -136,6 +138,40 @@ def test_lm_counts_and_base(spark, small, odd):
     assert len(rows) == len(ODD) and all(math.isfinite(r.score) for r in rows) and brown_lm.score_texts(odd.limit(0), p).count() == 0
 
 
+def traced(f):
+    """What f returns, and the most bytes that the driver's Python held for it."""
+    tracemalloc.start()
+    try:
+        return f(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize(("least", "segment"), [(8, 50_000), (8, 1_000_000), (45, 50_000), (1000, 50_000)])
+def test_the_driver_takes_the_vocabulary_as_columns(spark, least, segment):
+    counts = spark.range(200_000).select(F.xxhash64("id").alias("h"), (F.col("id") % 7).alias("unit"), (1 + F.col("id") % 50).alias("c"))
+    p = brown_lm.LmParams(own_units=10, least=least, segment=segment)
+    v, peak = traced(lambda: brown_lm.vocabulary(counts, p))
+    rows = counts.toArrow().to_pandas().sort_values(["c", "h"], ascending=[False, True])
+    rows = rows[(rows.c >= least) | (np.arange(len(rows)) < 10)]
+    edges = sorted({0, 10, *range(10, len(rows), segment), len(rows)})
+    assert v.core == 10 and v.segments == list(itertools.pairwise(edges)) and peak < 4_000_000 + 100 * len(rows)
+    own = rows.h.to_numpy().view(np.uint64)
+    order = np.concatenate([a + np.argsort(own[a:b]) for a, b in v.segments])
+    assert all(np.array_equal(x, y) for x, y in ((v.hash, own[order]), (v.unit, rows.unit.to_numpy()[order]), (v.count, rows.c.to_numpy()[order])))
+
+
+def test_learning_is_light_on_the_driver(spark):
+    """A hundred thousand kinds of bigrams don't become rows there, and no broadcast is left behind."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(700)}" for _ in range(700)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = Path(spark.sparkContext._temp_dir)
+    before = set(held.iterdir())
+    ((model, *_), peak) = traced(lambda: brown_lm.learn(df, Workspace(spark, "t"), brown_lm.LmParams(sweeps=1)))
+    assert len(model.own) == 700 and peak < 48_000_000 and set(held.iterdir()) <= before
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(2)
     n = rng.poisson(1.0, (30, 30)) + 20 * np.equal.outer(np.arange(30) % 3, (np.arange(30) + 1) % 3)
